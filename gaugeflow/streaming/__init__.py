@@ -1,0 +1 @@
+"""Intentionally empty: intake is an idempotent batch job that is simply run again."""
