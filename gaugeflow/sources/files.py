@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.cells import present
@@ -12,6 +12,11 @@ SHEET_GLOB = "T * * [rR]eadings.xls{,x}"
 CSV_GLOB = "T * * [rR]eadings.csv"
 
 
+def _decoded(name: Column) -> Column:
+    """File names in the metadata column are URL-encoded, except for '+'."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, directory: str, name_glob: str = SHEET_GLOB) -> DataFrame:
     """Path and base name of the sheets in a directory; file contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(directory)
@@ -40,7 +45,7 @@ def delimited_sheet_rows(
         spark.read.option("pathGlobFilter", name_glob)
         .text(directory)
         .select(
-            F.col("_metadata.file_name").alias("source_file"),
+            _decoded(F.col("_metadata.file_name")).alias("source_file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("id"),
             "value",

@@ -44,8 +44,7 @@ def shipment_readings(
 
     With gaps, every seventh flat lacks utility A.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    supplier = F.col("l_suppkey")
+    supplier, lines = F.col("l_suppkey"), table(spark, sf_dir, "lineitem")
     if with_gaps:
         lines = lines.filter(~((F.col("l_returnflag") == "A") & (supplier % 7 == 0)))
     if skewed:
@@ -53,13 +52,18 @@ def shipment_readings(
     quantity = F.when(F.col("l_orderkey") % 211 == 0, F.col("l_quantity") * 20).otherwise(
         F.col("l_quantity")
     )
-    flat = F.concat(F.lit("S"), supplier.cast("string"))
     readings = lines.groupBy(
         F.col("l_returnflag").alias("utility_type"),
-        flat.alias("given_flat_id"),
+        supplier.alias("flat_no"),
         F.col("l_shipdate").alias("recorded_at"),
     ).agg(F.max(quantity).alias("reading_value"))
-    return readings.withColumn("source_file", F.concat("utility_type", F.lit(" shipments")))
+    return readings.select(
+        "utility_type",
+        F.concat(F.lit("S"), F.col("flat_no").cast("string")).alias("given_flat_id"),
+        "recorded_at",
+        "reading_value",
+        F.concat("utility_type", F.lit(" shipments")).alias("source_file"),
+    )
 
 
 def summary(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:
