@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of a double column that does not depend on the order of addition.
+def _exact(value: Column) -> Column:
+    """Decimal form of a double: totals then do not depend on the order of addition.
 
-    Doubles are added as decimals, so tasks may be merged in any order and a total of
-    0.1 + 0.2 - 0.3 is zero. Values that a decimal cannot hold (infinity) are left out.
+    Tasks may be merged in any order, and a total of 0.1 + 0.2 - 0.3 is zero. Values that
+    the decimal cannot hold (infinity) become NULL and are left out.
     """
-    return F.sum(value.try_cast("decimal(24,6)"))
+    return value.try_cast("decimal(24,6)")
+
+
+def exact_sum(value: Column) -> Column:
+    return F.sum(_exact(value))
 
 
-def exact_mean(value: Column) -> Column:
-    return exact_sum(value).cast("double") / F.count(value)
+def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
+    """Mean as an aggregate, or over a window."""
+    total, count = exact_sum(value), F.count(_exact(value))
+    if over is not None:
+        total, count = total.over(over), count.over(over)
+    return total.cast("double") / count
 
 
 def round_half_away(value: Column, digits: int) -> Column:

@@ -86,9 +86,17 @@ def single_month(text: str) -> Period:
     return Period(month, month)
 
 
+def month_start(time: Column) -> Column:
+    """First day of the month: a fixed-width grouping key that needs no time zone."""
+    return F.trunc(F.to_date(time), "month")
+
+
 def month_of(time: Column) -> Column:
-    """'YYYY-MM' of a timestamp or date."""
-    return F.date_format(time, "yyyy-MM")
+    """'YYYY-MM' of a date or a zone-less timestamp.
+
+    Cut from the date's text; date_format would go through the session time zone.
+    """
+    return F.substring(F.to_date(time).cast("string"), 1, 7)
 
 
 def summary_in(summary: DataFrame, period: Period | None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import elapsed_seconds, exact_mean, round_half_away
-from gaugeflow.functions.period import month_of
+from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
 from gaugeflow.schemas import METER
 
@@ -20,12 +20,26 @@ def _month() -> Column:
     return month_of(F.col("recorded_at")).alias("month")
 
 
+def _month_start() -> Column:
+    return month_start(F.col("recorded_at")).alias("month")
+
+
 class Readings:
-    """Readings in scope; the lagged rows are declared once and shared by three checks."""
+    """Readings in scope; the lagged rows are declared once and shared by three checks.
 
-    def __init__(self, scoped: DataFrame, policy: SlicePolicy = DEFAULT_POLICY):
+    `measured` may name a cheaper superset of the rows to take meter sizes from, where the
+    readings are themselves the result of a shuffle.
+    """
+
+    def __init__(
+        self,
+        scoped: DataFrame,
+        policy: SlicePolicy = DEFAULT_POLICY,
+        measured: DataFrame | None = None,
+    ):
         self.scoped = scoped
         self.policy = policy
+        self.measured = scoped if measured is None else measured
 
     @cached_property
     def lagged(self) -> SlicedRows:
@@ -38,12 +52,13 @@ class Readings:
             "recorded_at",
             {"prev_value": "reading_value", "prev_time": "recorded_at"},
             self.policy,
+            self.measured,
         )
 
 
 def scan_stats(scoped: DataFrame) -> DataFrame:
     """One row of scope statistics; distinct counts run on the pre-grouped meter months."""
-    per_month = scoped.groupBy(*METER, _month()).agg(
+    per_month = scoped.groupBy(*METER, _month_start()).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("recorded_at").alias("lo"),
         F.max("recorded_at").alias("hi"),
@@ -71,13 +86,14 @@ def backward_readings(readings: Readings) -> DataFrame:
 def zero_consumption(scoped: DataFrame) -> DataFrame:
     return (
         scoped.filter(F.col("reading_value").isNotNull())
-        .groupBy(*METER, _month())
+        .groupBy(*METER, _month_start())
         .agg(
             F.min("reading_value").alias("min_val"),
             F.max("reading_value").alias("max_val"),
             F.count(F.lit(1)).alias("num_readings"),
         )
         .filter((F.col("min_val") == F.col("max_val")) & (F.col("num_readings") > 1))
+        .withColumn("month", month_of(F.col("month")))
     )
 
 
@@ -101,7 +117,8 @@ def gap_detection(scoped: DataFrame) -> DataFrame:
         .filter((median > 0) & (n < F.lit(0.8) * median))
         .select(
             *METER, "reading_date", "readings_per_day", "median_count",
-            round_half_away(F.lit(100.0) * n / median, 1).alias("pct_of_median"),
+            round_half_away(F.lit(100.0) * n / F.nullif(median, F.lit(0.0)), 1)
+            .alias("pct_of_median"),
         )
     )
 
@@ -109,25 +126,29 @@ def gap_detection(scoped: DataFrame) -> DataFrame:
 def spike_detection(readings: Readings) -> DataFrame:
     """Increases more than three standard deviations above the meter's mean increase.
 
-    Mean and deviation are combined map-side per meter; the join reuses the shuffle of the
-    lagged rows.
+    Mean and deviation are windows over the rows that are already clustered by meter. For
+    sliced meters they are combined map-side and joined back to the slices instead.
     """
-    lagged = readings.lagged
+    lagged, delta = readings.lagged, F.col("delta")
     steps = lagged.rows.withColumn("delta", F.col("reading_value") - F.col("prev_value")).filter(
-        F.col("delta") >= 0
+        delta >= 0
     )
-    stats = (
-        steps.groupBy(*METER)
-        .agg(exact_mean(F.col("delta")).alias("mean"), F.stddev_samp("delta").alias("std"))
-        .filter(F.col("std") > 0)
-    )
-    z = (F.col("delta") - F.col("mean")) / F.col("std")
+    if lagged.hot is None:
+        meter = Window.partitionBy(*METER)
+        scored = steps.withColumns(
+            {"mean": exact_mean(delta, over=meter), "std": F.stddev_samp(delta).over(meter)}
+        )
+    else:
+        stats = steps.groupBy(*METER).agg(
+            exact_mean(delta).alias("mean"), F.stddev_samp(delta).alias("std")
+        )
+        scored = lagged.join(stats, steps)
+    z = (delta - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     return (
-        lagged.join(stats, steps.filter(F.col("delta") > 0))
-        .filter(z > 3)
+        scored.filter((delta > 0) & (z > 3))
         .select(
             *METER, _month(), "recorded_at",
-            round_half_away(F.col("delta"), 4).alias("delta"),
+            round_half_away(delta, 4).alias("delta"),
             round_half_away(F.col("mean"), 4).alias("mean_delta"),
             round_half_away(F.col("std"), 4).alias("std_delta"),
             round_half_away(z, 2).alias("z_score"),
@@ -205,7 +226,7 @@ def null_readings(scoped: DataFrame) -> DataFrame:
     """Missing values per meter; grouped by month first so that distinct months are a count."""
     per_month = (
         scoped.filter(F.col("reading_value").isNull())
-        .groupBy(*METER, _month())
+        .groupBy(*METER, _month_start())
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("recorded_at").alias("lo"),
@@ -220,20 +241,19 @@ def null_readings(scoped: DataFrame) -> DataFrame:
     )
 
 
-def out_of_order(scoped: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
-    """Readings earlier than their predecessor in the same file and flat.
+def out_of_order(scoped: DataFrame) -> DataFrame:
+    """Readings earlier than their predecessor in the same file and meter.
 
     The predecessor is taken in time order, so the result is always empty; the check is
-    kept because reports list it.
+    kept because reports list it. Inside a day time order cannot be broken, so each day is
+    reduced to its first and last time map-side and only days are put in order.
     """
-    sequenced = lag_in_slices(
-        scoped.select("source_file", *METER, "recorded_at"),
-        ["source_file", "given_flat_id"],
-        "recorded_at",
-        {"prev_time": "recorded_at"},
-        policy,
-    )
-    return sequenced.rows.filter(F.col("recorded_at") < F.col("prev_time")).select(
+    by_day = Window.partitionBy("source_file", *METER).orderBy("day")
+    days = scoped.groupBy("source_file", *METER, F.to_date("recorded_at").alias("day")).agg(
+        F.min("recorded_at").alias("recorded_at"), F.max("recorded_at").alias("last")
+    )
+    sequenced = days.withColumn("prev_time", F.lag("last").over(by_day))
+    return sequenced.filter(F.col("recorded_at") < F.col("prev_time")).select(
         "source_file", *METER, "prev_time", "recorded_at",
         elapsed_seconds(F.col("prev_time"), F.col("recorded_at")).alias("gap_seconds"),
     )

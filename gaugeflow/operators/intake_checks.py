@@ -68,7 +68,8 @@ def row_count_anomalies(scoped: DataFrame) -> DataFrame:
         .filter((median > 0) & (n < F.lit(0.5) * median))
         .select(
             "source_file", "row_count", "median_rows",
-            round_half_away(F.lit(100.0) * n / median, 1).alias("pct_of_median"),
+            round_half_away(F.lit(100.0) * n / F.nullif(median, F.lit(0.0)), 1)
+            .alias("pct_of_median"),
             "num_flats", "first_reading", "last_reading",
         )
     )

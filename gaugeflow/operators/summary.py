@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.period import Period, month_of, readings_in, summary_in
+from gaugeflow.functions.period import Period, month_of, month_start, readings_in, summary_in
 from gaugeflow.schemas import METER, SUMMARY_KEY
 
 SUMMARY_COLUMNS = [
@@ -25,13 +25,14 @@ def monthly_summary(readings: DataFrame, period: Period | None = None) -> DataFr
     return (
         readings_in(readings, period)
         .filter(F.col("reading_value").isNotNull())
-        .groupBy(*METER, month_of(F.col("recorded_at")).alias("year_month"))
+        .groupBy(*METER, month_start(F.col("recorded_at")).alias("month"))
         .agg(
             opening.alias("opening_reading"),
             closing.alias("closing_reading"),
             F.min("recorded_at").alias("opening_timestamp"),
             F.max("recorded_at").alias("closing_timestamp"),
         )
+        .withColumn("year_month", month_of(F.col("month")))
         .withColumn("monthly_reading", F.col("closing_reading") - F.col("opening_reading"))
         .select(*SUMMARY_COLUMNS)
     )

@@ -87,17 +87,14 @@ def outlier_consumption(summary: DataFrame, period: Period | None = None) -> Dat
     """Months more than three standard deviations from the meter's mean over all history."""
     meter = Window.partitionBy(*METER)
     value = F.col("monthly_reading")
-    z = (value - F.col("mean")) / F.col("std")
+    z = (value - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     scored = (
         summary.select(
             *SUMMARY_KEY, "monthly_reading",
-            F.sum(value.try_cast("decimal(24,6)")).over(meter).alias("total"),
-            F.count(value).over(meter).alias("valued"),
             F.count(F.lit(1)).over(meter).alias("months"),
+            exact_mean(value, over=meter).alias("mean"),
             F.stddev_samp(value).over(meter).alias("std"),
-        )
-        .filter((F.col("months") >= 3) & (F.col("std") > 0))
-        .withColumn("mean", F.col("total").cast("double") / F.col("valued"))
+        ).filter(F.col("months") >= 3)
     )
     return (
         summary_in(scored, period)

@@ -105,7 +105,7 @@ def test_slices_give_what_plain_windows_give(spark, seed, min_rows):
     for check in (granular.backward_readings, granular.spike_detection, granular.stale_runs):
         assert values(check(sliced), "*") == values(check(plain), "*"), check
     assert granular.stale_runs(sliced).count() > 0
-    assert granular.out_of_order(rows, policy).count() == 0
+    assert granular.out_of_order(rows).count() == 0
 
 
 def test_lag_over_slices_by_row_number(spark):

@@ -44,6 +44,27 @@ def shipment_readings(
 
     With gaps, every seventh flat lacks utility A.
     """
+    lines = shipment_lines(spark, sf_dir, skewed, with_gaps)
+    readings = lines.groupBy("utility_type", "flat_no", "recorded_at").agg(
+        F.max("reading_value").alias("reading_value")
+    )
+    return readings.select(
+        "utility_type",
+        _shipment_flat(),
+        "recorded_at",
+        "reading_value",
+        F.concat("utility_type", F.lit(" shipments")).alias("source_file"),
+    )
+
+
+def _shipment_flat() -> Column:
+    return F.concat(F.lit("S"), F.col("flat_no").cast("string")).alias("given_flat_id")
+
+
+def shipment_lines(
+    spark: SparkSession, sf_dir: str, skewed: bool = False, with_gaps: bool = False
+) -> DataFrame:
+    """The lines behind R2, before those of one meter and time are made one reading."""
     supplier, lines = F.col("l_suppkey"), table(spark, sf_dir, "lineitem")
     if with_gaps:
         lines = lines.filter(~((F.col("l_returnflag") == "A") & (supplier % 7 == 0)))
@@ -52,18 +73,12 @@ def shipment_readings(
     quantity = F.when(F.col("l_orderkey") % 211 == 0, F.col("l_quantity") * 20).otherwise(
         F.col("l_quantity")
     )
-    readings = lines.groupBy(
+    return lines.select(
         F.col("l_returnflag").alias("utility_type"),
         supplier.alias("flat_no"),
         F.col("l_shipdate").alias("recorded_at"),
-    ).agg(F.max(quantity).alias("reading_value"))
-    return readings.select(
-        "utility_type",
-        F.concat(F.lit("S"), F.col("flat_no").cast("string")).alias("given_flat_id"),
-        "recorded_at",
-        "reading_value",
-        F.concat("utility_type", F.lit(" shipments")).alias("source_file"),
-    )
+        quantity.alias("reading_value"),
+    ).withColumn("given_flat_id", _shipment_flat())
 
 
 def summary(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:

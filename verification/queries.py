@@ -320,9 +320,18 @@ def ingestion_log_listing(spark, sf_dir):
     return intake_checks.ingestion_log_listing(bind.ingestion_log(spark, sf_dir))
 
 
-def skewed_stale_runs(spark, sf_dir):
-    readings = bind.shipment_readings(spark, sf_dir, skewed=True)
-    return granular.stale_runs(granular.Readings(readings, CLOSE_SLICES))
+def _shipments(spark, sf_dir, **kwargs):
+    readings = bind.shipment_readings(spark, sf_dir, skewed="policy" in kwargs)
+    lines = bind.shipment_lines(spark, sf_dir, skewed="policy" in kwargs)
+    return granular.Readings(readings, measured=lines, **kwargs)
+
+
+def stale_runs(spark, sf_dir):
+    return granular.stale_runs(_shipments(spark, sf_dir))
+
+
+def stale_runs_skewed(spark, sf_dir):
+    return granular.stale_runs(_shipments(spark, sf_dir, policy=CLOSE_SLICES))
 
 
 QUERIES: dict[str, Query] = {
@@ -361,7 +370,7 @@ QUERIES: dict[str, Query] = {
     "zero_consumption_granular": _on_r2(granular.zero_consumption),
     "gap_detection": _on_r1(granular.gap_detection),
     "spike_detection": _lagged_r1(granular.spike_detection),
-    "stale_runs": _on_r2(lambda scoped: granular.stale_runs(granular.Readings(scoped))),
+    "stale_runs": stale_runs,
     "null_readings": _on_r1(granular.null_readings),
     "out_of_order": _on_r1(granular.out_of_order),
     "repeat_offenders": repeat_offenders,
@@ -369,7 +378,7 @@ QUERIES: dict[str, Query] = {
     # the same with one meter holding a third of the rows, cut into many slices
     "backward_readings_skewed": _sliced_r1(granular.backward_readings),
     "spike_detection_skewed": _sliced_r1(granular.spike_detection),
-    "stale_runs_skewed": skewed_stale_runs,
+    "stale_runs_skewed": stale_runs_skewed,
     # checks on the summary
     "summary_scan_stats": _on_summary(summary_checks.scan_stats),
     "negative_consumption": _on_summary(summary_checks.negative_consumption),
