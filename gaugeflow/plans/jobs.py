@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.period import Period, month_of, parse_period, readings_in, single_month
-from gaugeflow.operators import coverage, findings, granular, intake, intake_checks, offenders
+from gaugeflow.operators import (
+    coverage, daily, findings, granular, intake, intake_checks, offenders, summary_checks,
+)
 from gaugeflow.operators import summary as summaries
-from gaugeflow.operators import summary_checks
 from gaugeflow.operators.merge import first_per_key
 from gaugeflow.operators.sheets import Sheets
 from gaugeflow.schemas import READING_COLUMNS, READING_KEY
@@ -279,6 +280,15 @@ def reload_archive(tables: MeterTables, path: str) -> int:
     return archived.count()
 
 
+def write_daily_records(
+    spark: SparkSession, directory: str, path: str, name_glob: str = files.CSV_GLOB
+) -> None:
+    """Daily opening and closing values of all sheets of a directory as CSV."""
+    daily.write_daily_csv(
+        daily.daily_open_close(files.delimited_sheet_rows(spark, directory, name_glob)), path
+    )
+
+
 def table_stats(tables: MeterTables) -> DataFrame:
     return summaries.table_stats(
         tables.readings, tables.monthly_summary, tables.monthly_discrepancy, tables.ingestion_log
