@@ -10,8 +10,8 @@ from gaugeflow.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("local[4]", **{
-        "spark.sql.shuffle.partitions": "4",
+    session = build_session("local[8]", **{
+        "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",

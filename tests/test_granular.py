@@ -95,8 +95,7 @@ def _skewed(spark, seed):
     return readings(spark, rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("min_rows", [10, 100])
+@pytest.mark.parametrize(("seed", "min_rows"), [(1, 10), (2, 100), (3, 10)])
 def test_slices_give_what_plain_windows_give(spark, seed, min_rows):
     rows = _skewed(spark, seed).cache()
     policy = SlicePolicy(min_rows=min_rows, oversampling=1 if seed == 1 else 16)

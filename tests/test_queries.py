@@ -27,20 +27,18 @@ def test_flagship_query(spark):
     assert driver.entry(spark).count() == 445
 
 
-@pytest.mark.parametrize("name", QUERIES)
-def test_result_equals_sql(spark, con, name):
-    assert compare(spark, con, name, SMALL).startswith("ok")
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("write_", "archive_"))])
-def test_no_query_uses_cross_joins_python_or_unpartitioned_windows(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, con, name):
+    """Equal to its SQL; no cross join, Python worker or window over everything."""
+    result = QUERIES[name](spark, SMALL)
+    text = plan(result)
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|Arrow", text)
     assert not re.search(r"Window \[[^\n]*\], \[\], \[", text)
+    assert compare(result, con, name).startswith("ok")
 
 
 def exchanges(text: str) -> list[str]:
@@ -53,7 +51,15 @@ def test_lag_checks_shuffle_the_readings_once(spark):
     from gaugeflow.operators import granular
 
     rows = granular.Readings(bind.event_readings(spark, SMALL))
-    assert len(exchanges(plan(granular.stale_runs(rows)))) == 1
+    for check in (granular.spike_detection, granular.stale_runs):
+        assert len(exchanges(plan(check(rows)))) == 1
+
+
+def test_checks_on_one_lag_share_its_shuffle(spark):
+    report = QUERIES["granular_scan_report"](spark, SMALL)
+    report.collect()
+    final = plan(report).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"ReusedExchange \[[^\]]*recorded_at", final)) == 2
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -12,6 +12,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import DataFrame
 
 from gaugeflow.session import build_session
 from verification.oracle import oracle_sql
@@ -37,9 +38,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str:
-    """'ok N rows', or what differs."""
-    result = QUERIES[name](spark, sf_dir)
+def compare(result: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str:
+    """'ok N rows', or how the result differs from the query's SQL."""
     found = _rows(result.columns, result.collect())
     cursor = con.execute(oracle_sql()[name])
     columns = [column[0] for column in cursor.description]
@@ -68,7 +68,7 @@ def main(sf_dir: str, *names: str) -> int:
     for name in names or QUERIES:
         started = time.time()
         try:
-            verdict = compare(spark, con, name, sf_dir)
+            verdict = compare(QUERIES[name](spark, sf_dir), con, name)
         except Exception as error:  # report and go on with the next query
             verdict = f"FAILED {type(error).__name__}: {str(error)[:600]}"
         failed += not verdict.startswith("ok")

@@ -16,7 +16,7 @@ from gaugeflow.operators import (
 from gaugeflow.operators import summary as summaries
 from gaugeflow.operators.slices import SlicePolicy
 from gaugeflow.plans import jobs
-from gaugeflow.schemas import FINDING_KEY, READING_KEY, SUMMARY_KEY
+from gaugeflow.schemas import FINDING_KEY, READING_COLUMNS, READING_KEY, SUMMARY_KEY
 from gaugeflow.sources import archive
 from gaugeflow.sources.workspace import new_folder
 from verification import bindings as bind
@@ -205,7 +205,23 @@ def archive_month(spark, sf_dir):
     return archive.read_archive(spark, path)
 
 
+def reload_parquet(spark, sf_dir):
+    """A month is archived and purged, then read back: all readings are there again."""
+    readings = bind.shipment_readings(spark, sf_dir).withColumns(
+        {"tower_name": F.lit("S"), "flat_id": F.col("given_flat_id")}
+    ).select(*READING_COLUMNS)
+    month = Period("1996-05", "1996-05")
+    path = new_folder(spark, "archive")
+    archive.write_archive(readings_in(readings, month), path)
+    archived = archive.read_archive(spark, path)
+    kept = readings.filter(~month.of_time(F.col("recorded_at")))
+    if not archive.conflicting_keys(kept, archived).isEmpty():
+        raise ValueError("archived readings are still stored")
+    return kept.unionByName(archived)
+
+
 def reload_conflicts(spark, sf_dir):
+    """Keys that forbid a reload while the first three days are still stored."""
     archived = bind.event_readings(spark, sf_dir)
     stored = archived.filter(F.dayofmonth("recorded_at") <= 3)
     return archive.conflicting_keys(stored, archived)
@@ -348,7 +364,8 @@ QUERIES: dict[str, Query] = {
     "insert_if_absent": insert_if_absent,
     "ingestion_log_append": ingestion_log_append,
     "ingest_directory": ingest_directory,
-    "reload_parquet": reload_conflicts,
+    "reload_parquet": reload_parquet,
+    "reload_conflicts": reload_conflicts,
     "archive_month": archive_month,
     "daily_open_close": daily_open_close,
     "parse_time_24h": parse_time_24h,
