@@ -112,15 +112,29 @@ def parse_time_24h(cell: Column) -> Column:
 # -- reading values --------------------------------------------------------------------
 
 
+# Nearly every cell consists of these characters only; a cast decides on them alone. What
+# else counts as a number (1_000, inf, nan) or does not (1d, 0x10) takes the longer way.
+
+
+def _is_plain(cell: Column) -> Column:
+    return cell.rlike(r"^[0-9.+\-eE]+$")
+
+
 def _number_text(cell: Column) -> Column:
     return F.regexp_replace(strip(cell), r"(?<=\d)_(?=\d)", "")
 
 
 def is_bad_number(cell: Column) -> Column:
     """A present cell that is not a number (this rejects its whole file)."""
-    return F.coalesce(~_number_text(cell).rlike(_NUMBER), F.lit(False))
+    bad = F.when(_is_plain(cell), cell.try_cast("double").isNull()).otherwise(
+        ~_number_text(cell).rlike(_NUMBER)
+    )
+    return F.coalesce(bad, F.lit(False))
 
 
 def reading_value(cell: Column) -> Column:
     text = _number_text(cell)
-    return F.when(text.rlike(_NUMBER) & ~F.lower(text).endswith("nan"), text.try_cast("double"))
+    unusual = F.when(
+        text.rlike(_NUMBER) & ~F.lower(text).endswith("nan"), text.try_cast("double")
+    )
+    return F.when(_is_plain(cell), cell.try_cast("double")).otherwise(unusual)

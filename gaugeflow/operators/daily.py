@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.cells import parse_time_24h, present
-from gaugeflow.operators.sheets import drop_repeated_times, sheet_columns
+from gaugeflow.operators.sheets import drop_repeated_times, flat_cells, sheet_columns
 from gaugeflow.operators.slices import DEFAULT_POLICY, SlicePolicy
 
 DAILY_COLUMNS = ["Type_of_utility", "given_flat_id", "date", "starting_reading", "closing_reading"]
@@ -25,17 +25,19 @@ def daily_open_close(sheet_rows: DataFrame, policy: SlicePolicy = DEFAULT_POLICY
         F.min_by("cells", "row_idx").alias("opening"),
         F.max_by("cells", "row_idx").alias("closing"),
     )
-    flat = F.col("flat.col_idx")
     return (
         pairs.join(sheet_columns(sheet_rows, strip_tower_letter=False), "source_file")
-        .withColumn("flat", F.explode("flats"))
         .select(
-            "source_file", "first_row", flat.alias("col_idx"),
+            "source_file", "first_row", "utility_type", "day",
+            F.inline(flat_cells(opening="opening", closing="closing")),
+        )
+        .select(
+            *SHEET_ORDER,
             F.col("utility_type").alias("Type_of_utility"),
-            F.col("flat.given_flat_id").alias("given_flat_id"),
+            "given_flat_id",
             F.date_format("day", "dd-MM-yyyy").alias("date"),
-            present(F.get("opening", flat)).alias("starting_reading"),
-            present(F.get("closing", flat)).alias("closing_reading"),
+            present(F.col("opening")).alias("starting_reading"),
+            present(F.col("closing")).alias("closing_reading"),
         )
         .filter(F.col("starting_reading").isNotNull() & F.col("closing_reading").isNotNull())
     )

@@ -154,17 +154,29 @@ class Sheets:
         columns = self.columns
         if files is not None:
             columns = columns.join(files.select("source_file"), "source_file", "left_semi")
-        value = cell.reading_value(cell.present(F.get("cells", F.col("flat.col_idx"))))
         return (
             self.kept.join(columns)
-            .withColumn("flat", F.explode("flats"))
-            .withColumns(
-                {
-                    "reading_value": value,
-                    "flat_id": F.col("flat.flat_id"),
-                    "given_flat_id": F.col("flat.given_flat_id"),
-                    "col_idx": F.col("flat.col_idx"),
-                }
+            .select(
+                "utility_type", "tower_name", "recorded_at", "source_file", "row_idx",
+                F.inline(flat_cells(cell="cells")),
             )
+            .withColumn("reading_value", cell.reading_value(cell.present(F.col("cell"))))
             .select(*READING_COLUMNS, "row_idx", "col_idx")
         )
+
+
+def flat_cells(**rows: str) -> Column:
+    """The flats of a file with their cells of the given rows, ready to be exploded.
+
+    Cells are picked before the explosion: a row per flat then carries its own cells only
+    and not the whole grid row.
+    """
+    return F.transform(
+        "flats",
+        lambda flat: F.struct(
+            flat["col_idx"].alias("col_idx"),
+            flat["flat_id"].alias("flat_id"),
+            flat["given_flat_id"].alias("given_flat_id"),
+            *[F.get(cells, flat["col_idx"]).alias(name) for name, cells in rows.items()],
+        ),
+    )
