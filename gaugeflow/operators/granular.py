@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.numbers import elapsed_seconds, exact_mean, round_half_away
 from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
-from gaugeflow.schemas import METER
+from gaugeflow.schemas import METER, METER_WINDOW
 
 def _month() -> Column:
     return month_of(F.col("recorded_at")).alias("month")
@@ -48,7 +48,7 @@ class Readings:
         )
         return lag_in_slices(
             values,
-            METER,
+            METER_WINDOW,
             "recorded_at",
             {"prev_value": "reading_value", "prev_time": "recorded_at"},
             self.policy,
@@ -134,7 +134,7 @@ def spike_detection(readings: Readings) -> DataFrame:
         delta >= 0
     )
     if lagged.hot is None:
-        meter = Window.partitionBy(*METER)
+        meter = Window.partitionBy(*METER_WINDOW)
         scored = steps.withColumns(
             {"mean": exact_mean(delta, over=meter), "std": F.stddev_samp(delta).over(meter)}
         )
@@ -199,17 +199,17 @@ def _join_fragments(fragments: DataFrame, rows: DataFrame) -> DataFrame:
     """Runs of sliced meters (slice > 0) put together from their fragments per slice."""
     columns = [*METER, "first", "last", "value", "n"]
     earlier = (
-        Window.partitionBy(*METER).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*METER_WINDOW).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
     inherited = (
         rows.filter(F.col(SLICE) > 0)
-        .groupBy(*METER, SLICE)
+        .groupBy(*METER_WINDOW, SLICE)
         .agg(F.max("change").alias("change"))
         .select(*METER, SLICE, F.max("change").over(earlier).alias("inherited"))
     )
     joined = (
         fragments.filter(F.col(SLICE) > 0)
-        .join(inherited, [*METER, SLICE], "left")
+        .join(inherited, [*METER_WINDOW, SLICE], "left")
         .groupBy(*METER, F.coalesce("run", "inherited").alias("run"))
         .agg(
             F.min("first").alias("first"),
@@ -248,7 +248,7 @@ def out_of_order(scoped: DataFrame) -> DataFrame:
     kept because reports list it. Inside a day time order cannot be broken, so each day is
     reduced to its first and last time map-side and only days are put in order.
     """
-    by_day = Window.partitionBy("source_file", *METER).orderBy("day")
+    by_day = Window.partitionBy("source_file", *METER_WINDOW).orderBy("day")
     days = scoped.groupBy("source_file", *METER, F.to_date("recorded_at").alias("day")).agg(
         F.min("recorded_at").alias("recorded_at"), F.max("recorded_at").alias("last")
     )

@@ -33,7 +33,7 @@ class SlicePolicy:
     an even spread needs, so a burst that is denser than the average still fits.
     """
 
-    min_rows: int = 5_000_000
+    min_rows: int = 10_000_000
     oversampling: int = 16
 
 

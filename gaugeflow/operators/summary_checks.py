@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import exact_mean, round_half_away
 from gaugeflow.functions.period import Period, summary_in
-from gaugeflow.schemas import METER, SUMMARY_KEY
+from gaugeflow.schemas import METER, METER_WINDOW, SUMMARY_KEY
 
 _READINGS = ["opening_reading", "closing_reading", "monthly_reading"]
 
@@ -65,7 +65,7 @@ def continuity_breaks(summary: DataFrame, period: Period | None = None) -> DataF
     The previous month may lie outside the period, so the window sees every month up to
     the period's end and the period is applied afterwards.
     """
-    by_month = Window.partitionBy(*METER).orderBy("year_month")
+    by_month = Window.partitionBy(*METER_WINDOW).orderBy("year_month")
     history = summary if period is None else summary.filter(F.col("year_month") <= period.end)
     gap = F.col("opening_reading") - F.col("prev_closing")
     linked = history.select(
@@ -85,7 +85,7 @@ def continuity_breaks(summary: DataFrame, period: Period | None = None) -> DataF
 
 def outlier_consumption(summary: DataFrame, period: Period | None = None) -> DataFrame:
     """Months more than three standard deviations from the meter's mean over all history."""
-    meter = Window.partitionBy(*METER)
+    meter = Window.partitionBy(*METER_WINDOW)
     value = F.col("monthly_reading")
     z = (value - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     scored = (
