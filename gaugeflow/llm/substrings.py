@@ -6,10 +6,11 @@ begin in it; equal windows have equal prefixes at the same place, and neighbouri
 share one, so few prefixes stand for all suffixes. Prefixes that occur once are leaves and are
 dropped. Only the others are grown to full depth: their windows, named by 96-bit hashes, are
 the deep nodes, and a node with two or more leaves is a repeat. Node counts are keyed
-aggregations combined before the shuffle, so a hot subtree is never gathered in one task.
+aggregations combined before the shuffle, so a hot subtree is never gathered in one task. Of
+texts that are equal as a whole, one is grown.
 
-The prefixes that go on reach the tasks as a filter of fixed size (`filter_bits`), as do the
-texts that have removals. A filter only saves work; results come from the exact keys.
+The prefixes that go on, the repeated windows, the texts with copies and those with removals
+reach the tasks as filters of fixed size (`filter_bits`). A filter only saves work; results come from the exact keys.
 
 Cases: null texts have no words and keep the empty text; texts shorter than the window lose
 nothing; repeated rows and copies lose every word that a repeated window covers, which is all
@@ -83,68 +84,90 @@ class BitFilter:
         return (self.cells[(index >> np.uint64(6)).astype(np.int64)] >> (index & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _prefixes(rows: DataFrame, size: int) -> DataFrame:
-    """value, k1, twice: the prefixes of each text, and whether it has one at two places."""
+def _lone(batch: pa.RecordBatch, copied: BitFilter) -> pa.RecordBatch:
+    """The rows whose texts surely have no copy."""
+    return batch.filter(pa.array(~copied.may_hold(batch.column("k1").to_numpy().view(np.uint64))))
+
+
+class DistinctTexts:
+    """Every text once: those without a copy as they are scanned, one of each of the others."""
+
+    def __init__(self, rows: DataFrame, filter_bits: int):
+        spark = rows.sparkSession
+        self.rows = rows.select("k1", "k2", "text")
+        self.copies = rows.groupBy("k1", "k2").count().filter("count > 1").select("k1", "k2").checkpoint()
+        self.copied = spark.sparkContext.broadcast(BitFilter(self.copies, "k1", min(filter_bits, 24)))
+        copied, folder = self.copied, new_folder(spark, "copied")
+
+        def held(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array(copied.value.may_hold(batch.column("k1").to_numpy().view(np.uint64))))
+
+        map_slices(self.rows, "text", held, "k1 long, k2 long, text string").dropDuplicates(
+            ["k1", "k2"]).write.parquet(folder)
+        self.others = spark.read.parquet(folder)
+
+    def map(self, work, schema: str) -> DataFrame:
+        copied = self.copied
+        return map_slices(self.rows, "text", lambda batch: work(_lone(batch, copied.value)), schema).unionByName(
+            map_slices(self.others, "text", work, schema))
+
+
+def _prefixes(texts: DistinctTexts, size: int) -> DataFrame:
+    """value, places: the prefixes of each text and at how many places it has each."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        s = Suffixes(batch.column(2), size)
+        s = Suffixes(batch.column("text"), size)
         if not len(s.at):
             return None
         fresh = np.ones(len(s.at), bool)
         fresh[1:] = s.place[1:] != s.place[:-1]
-        value, text = s.value[fresh], s.text[fresh]
-        order = np.lexsort((value, text))
-        value, text = value[order], text[order]
-        same = np.zeros(len(value) + 1, bool)
-        same[1:-1] = (value[1:] == value[:-1]) & (text[1:] == text[:-1])
-        first = ~same[:-1]
+        value, places = np.unique(s.value[fresh], return_counts=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(value[first].view(np.int64)), batch.column(0).take(pa.array(text[first])),
-             pa.array(same[1:][first])], ["value", "k1", "twice"])
+            [pa.array(value.view(np.int64)), pa.array(places.astype(np.int32))], ["value", "places"])
 
-    return map_slices(rows.select("k1", "k2", "text"), "text", work, "value long, k1 long, twice boolean")
+    return texts.map(work, "value long, places int")
 
 
-def _windows(rows: DataFrame, size: int, wanted) -> DataFrame:
-    """w1, w2, k1, k2, start: the windows under prefixes that go on."""
+def _windows(texts: DistinctTexts, size: int, grown, nodes=None) -> DataFrame:
+    """w1, w2 of the windows under prefixes that go on; with a filter of repeated windows only
+    those that it may hold, and with k1, k2, start."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        s = Suffixes(batch.column(2), size)
-        grown = wanted.value.may_hold(s.value)
-        if not grown.any():
+        s = Suffixes(batch.column("text"), size)
+        on = grown.value.may_hold(s.value)
+        if not on.any():
             return None
-        at, text = s.at[grown], s.text[grown]
-        # only the texts with such windows, to hash no more than needed
+        at, text = s.at[on], s.text[on]
         first, last = int(at[0]), int(at[-1]) + size
         h = s.h[first:last]
         one = windows(h, size, WINDOW_BASES[0])[at - first]
-        two = windows(h, size, WINDOW_BASES[1])[at - first]
-        texts = pa.array(text)
+        two = (windows(h, size, WINDOW_BASES[1])[at - first] >> np.uint64(33)).astype(np.int32)
+        if nodes is None:
+            return pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two)], ["w1", "w2"])
+        again = nodes.value.may_hold(one)
+        at, text, one, two = at[again], text[again], one[again], two[again]
+        owner = pa.array(text)
         return pa.RecordBatch.from_arrays(
-            [pa.array(one.view(np.int64)), pa.array((two >> np.uint64(33)).astype(np.int32)),
-             batch.column(0).take(texts), batch.column(1).take(texts),
-             pa.array((at - s.words.offsets[text]).astype(np.int32))], ["w1", "w2", "k1", "k2", "start"])
+            [pa.array(one.view(np.int64)), pa.array(two), batch.column("k1").take(owner),
+             batch.column("k2").take(owner), pa.array((at - s.words.offsets[text]).astype(np.int32))],
+            ["w1", "w2", "k1", "k2", "start"])
 
-    return map_slices(rows.select("k1", "k2", "text"), "text", work, "w1 long, w2 int, k1 long, k2 long, start int")
+    return texts.map(work, "w1 long, w2 int" + (", k1 long, k2 long, start int" if nodes is not None else ""))
 
 
 def repeated_windows(documents: DataFrame, size: int = 35, text: str = "text", filter_bits: int = 27) -> DataFrame:
     """k1, k2 (text key), whole, starts: of each text with a repeated window whether all its
     windows are repeated (it has a copy) and else the first words of those that are."""
-    spark = documents.sparkSession
+    context = documents.sparkSession.sparkContext
     rows = documents.select(*text_key(F.col(text)), F.col(text).cast("string").alias("text"))
-    growing = (
-        _prefixes(rows, size).groupBy("value")
-        .agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.max("twice").alias("twice"))
-        .filter("a != b or twice").select("value")
+    texts = DistinctTexts(rows, filter_bits)
+    growing = _prefixes(texts, size).groupBy("value").agg(F.sum("places").alias("n")).filter("n > 1")
+    grown = context.broadcast(BitFilter(growing, "value", filter_bits))
+    counted = _windows(texts, size, grown).groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2").checkpoint()
+    nodes = context.broadcast(BitFilter(counted, "w1", filter_bits))
+    starts = (
+        _windows(texts, size, grown, nodes).join(counted, ["w1", "w2"], "left_semi")
+        .groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
     )
-    wanted = spark.sparkContext.broadcast(BitFilter(growing, "value", filter_bits))
-    folder = new_folder(spark, "windows")
-    _windows(rows, size, wanted).write.parquet(folder)
-    grown = spark.read.parquet(folder)
-    leaf = F.xxhash64("k1", "k2", "start")
-    nodes = grown.groupBy("w1", "w2").agg(F.min(leaf).alias("a"), F.max(leaf).alias("b")).filter("a != b")
-    starts = grown.join(nodes, ["w1", "w2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
-    copies = rows.groupBy("k1", "k2").count().filter("count > 1").select("k1", "k2", F.lit(True).alias("whole"))
-    return copies.join(starts, ["k1", "k2"], "full")
+    return texts.copies.withColumn("whole", F.lit(True)).join(starts, ["k1", "k2"], "full")
 
 
 def remove_repeats(
