@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 
 U = np.uint64
