@@ -150,11 +150,13 @@ def ranges(offsets: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int]
 def read_records(selected: DataFrame, folder: str) -> DataFrame:
     """page_id, url, record_type, refers_to, digest (of the header) and payload of index rows.
 
-    The archives are dealt out in stretches of 64 MB, read in order.
+    The archives are dealt out in stretches of a fixed size, as many tasks as there are such
+    amounts to read (index rows say nothing about that), and read in order.
     """
+    amount = selected.agg(F.sum("length")).first()[0] or 0
     rows = (
-        selected.select("archive", "offset", "length", F.expr("offset div 67108864").alias("stretch"))
-        .repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+        selected.select("archive", "offset", "length", F.expr(f"offset div {RANGE_BYTES}").alias("stretch"))
+        .repartition(int(amount // RANGE_BYTES) + 1, "archive", "stretch").sortWithinPartitions("archive", "offset")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
