@@ -7,7 +7,7 @@ tree (sum-product) and give each node's marginal; the text of nodes above one ha
 
 The potentials are counted on labelled pages: a few pages with marks in this module and a
 bounded sample of the given pages, labelled where they name their parts by the elements of
-the standard (article, main, nav, aside and so on). Each labelled page counts once more
+the standard (article, main, nav, aside and so on) or by usual labels of other parts. Each labelled page counts once more
 without these names and labels, so that lengths and links bear weight of their own.
 
 Cases: a null or empty page has the text ''; a page of text without elements is content if the
@@ -39,6 +39,9 @@ _PROSE = (
     "In the second part of this account we look at the letters and at what they say about the family.",
     "Short answer: yes.",
     "A list of the instruments follows, with the years in which each was bought and the name of its maker.",
+    "They left before noon and did not come back.",
+    "It rained on the second day, and on the third day too.",
+    "The house stood empty for a year; then the roof fell in.",
 )
 _OTHER = (
     '<{a} class="{c}"><p>We use cookies to give you the best experience. Accept or read more about it here.</p></{a}>',
@@ -46,6 +49,8 @@ _OTHER = (
     '<{a} class="{c}"><h3>Related</h3><p><a href="/x">Ten more stories that you may like to read today</a></p></{a}>',
     '<{a} class="{c}">Buy now and save half the price on all garden chairs this week only.</{a}>',
     '<{a} class="{c}"><div class="{c}"><p>Great piece, thank you for writing this. I had no idea that it was so.</p></div></{a}>',
+    '<{a} class="{c}"><h1><a href="/">The Paper</a></h1><h2>News of the town</h2></{a}>',
+    '<{a} class="{c}"><h2>Site</h2>For all readers</{a}>',
     '<{a} class="{c}"><form><label>Mail</label><input name="m"><button>Subscribe</button></form></{a}>',
 )
 # Label words that page templates use for parts beside the main text.
@@ -54,6 +59,7 @@ _OTHER_LABELS = (
     "subscribe signup nav navbar menu breadcrumb breadcrumbs sidebar side widget related recommended header masthead "
     "top footer bottom copyright legal share social comments comment reply respond discussion login search form "
     "pagination pager tags toolbar").split()
+_OTHER_SET = frozenset(_OTHER_LABELS)
 _MAIN_LABELS = "content main article post entry body story text".split()
 
 
@@ -61,11 +67,12 @@ def labelled_pages() -> list[str]:
     """Pages in which data-part says main or other for an element and what it holds."""
     pages = []
     for i, word in enumerate(_OTHER_LABELS):
-        parts = [_OTHER[(i + k) % len(_OTHER)].format(a="div data-part='other'" if k else "section data-part='other'",
-                                                      c=word if not k else _OTHER_LABELS[(i * 7 + k) % len(_OTHER_LABELS)])
-                 for k in range(4)]
-        parts = [p.replace("</div data-part='other'>", "</div>").replace("</section data-part='other'>", "</section>")
-                 for p in parts]
+        parts = []
+        for k in range(4):
+            tag = ("section", "header", "div", "aside", "nav", "footer")[(i + k) % 6]
+            label = word if k == 0 else _OTHER_LABELS[(7 * i + k) % len(_OTHER_LABELS)]
+            part = _OTHER[(i + k) % len(_OTHER)].format(a=tag, c=label)
+            parts.append(part.replace(f"<{tag} ", f"<{tag} data-part='other' ", 1))
         prose = "".join(f"<p>{_PROSE[(i + k) % len(_PROSE)]}</p>" for k in range(4))
         lists = "<ul><li>Two brass horns, 1871</li><li>One drum of unknown make</li></ul>" if i % 3 == 0 else ""
         quote = f"<blockquote>{_PROSE[i % 3]}</blockquote>" if i % 4 == 0 else ""
@@ -83,7 +90,14 @@ def _state_by_mark(page: Page, node: int) -> int | None:
 
 def _state_by_name(page: Page, node: int) -> int | None:
     tag = page.tags[node]
-    return 1 if tag in NAMED_MAIN else 0 if tag in NAMED_OTHER else None
+    if tag in NAMED_MAIN:
+        return 1
+    return 0 if tag in NAMED_OTHER or _OTHER_SET.intersection(page.labels[node]) else None
+
+
+def _amount(text: int) -> int:
+    """Steps of the length of an element's own text."""
+    return sum(text >= step for step in (1, 25, 80, 200))
 
 
 def states(page: Page, named) -> list[int]:
@@ -107,7 +121,7 @@ def features(page: Page, anonymous: bool = False) -> list[list[str]]:
         tag = page.tags[node]
         if anonymous and (tag in NAMED_MAIN or tag in NAMED_OTHER):
             tag = "div"
-        own = [f"tag {tag}", f"own {min(page.text[node], 4000).bit_length()}",
+        own = [f"tag {tag}", f"own {_amount(page.text[node])}",
                f"links {round(4 * links[node] / text[node]) if text[node] else 'none'}"]
         if not anonymous:
             own += [f"label {word}" for word in set(page.labels[node])]

@@ -117,7 +117,7 @@ def train(
         words.setdefault(row.word, np.zeros(len(languages)))[column[row.lang]] += row.n
         padded = f" {row.word} "
         for size in ORDERS:
-            for i in range(len(padded) - size + 1):
+            for i in range(size == 1, len(padded) - size + (size > 1)):  # no blank on its own
                 grams[size].setdefault(padded[i : i + size], np.zeros(len(languages)))[column[row.lang]] += row.n
     tables = [_log_frequencies(words, len(languages))]
     places, base = {}, len(words)
