@@ -20,7 +20,7 @@ _DAY_FIRST_12_HOURS = (
     r"(?i)^\d{1,2}-\d{1,2}-(?!0000)\d{4} (0?[1-9]|1[0-2]):\d{1,2}(:\d{1,2})? [ap]m$"
 )
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+_EXPORTED_NUMBER = r"^-?(0|[1-9]\d*)(\.\d*)?$"
 
 
 def strip(text: Column) -> Column:
@@ -63,10 +63,14 @@ def utility_type(words: Column) -> Column:
 
 
 def raw_flat_id(header: Column) -> Column:
-    """Trimmed text; numbers become truncated integer text (101.7 -> 101)."""
+    """Trimmed text; what a sheet writes for a number loses its fraction (101.7 -> 101).
+
+    The cut is made in the text, so ids of any length stay distinct. Texts that no number is
+    written as (007, +5) are ids as they stand.
+    """
     text = strip(header)
-    number = text.try_cast("double").try_cast("bigint").cast("string")
-    return F.when(text.rlike(_PLAIN_NUMBER), number).otherwise(text)
+    whole = F.regexp_replace(F.regexp_replace(text, r"\..*$", ""), "^-0$", "0")
+    return F.when(text.rlike(_EXPORTED_NUMBER), whole).otherwise(text)
 
 
 def normalize_flat_id(header: Column, letter: Column) -> Column:

@@ -6,35 +6,48 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
+DECIMAL_BOUND = 1e17
+
+
 def _exact(value: Column) -> Column:
-    """Decimal form of a double: totals then do not depend on the order of addition.
+    """Six-digit decimal part of a double; zero for values that a decimal does not hold."""
+    return F.when(F.abs(value) < DECIMAL_BOUND, value.try_cast("decimal(24,6)")).when(
+        value.isNotNull(), F.lit(0).cast("decimal(24,6)")
+    )
 
-    Tasks may be merged in any order, and a total of 0.1 + 0.2 - 0.3 is zero. Values that
-    the decimal cannot hold (infinity) become NULL and are left out.
-    """
-    return value.try_cast("decimal(24,6)")
 
+def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
+    """Total of doubles, as an aggregate or over a window.
 
-def exact_sum(value: Column) -> Column:
-    return F.sum(_exact(value))
+    Decimal parts are added exactly, so a total of 0.1 + 0.2 - 0.3 is zero and the order in
+    which tasks are merged does not matter. What the decimal leaves of a value (digits from
+    the seventh on, very large values, infinity) is added as a double: nothing is lost.
+    """
+    part = _exact(value)
+    sums = F.sum(part), F.sum(value - part.cast("double"))
+    if over is not None:
+        sums = sums[0].over(over), sums[1].over(over)
+    return sums[0].cast("double") + sums[1]
 
 
 def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
     """Mean as an aggregate, or over a window."""
-    total, count = exact_sum(value), F.count(_exact(value))
-    if over is not None:
-        total, count = total.over(over), count.over(over)
-    return total.cast("double") / count
+    count = F.count(value)
+    return exact_sum(value, over) / F.nullif(count if over is None else count.over(over), F.lit(0))
 
 
 def round_half_away(value: Column, digits: int) -> Column:
     """Round a double by scaling it, ties away from zero.
 
     F.round works on the shortest decimal text (1.005 -> 1.01); scaling gives 1.0 as the
-    double arithmetic of the SQL this replaces does.
+    double arithmetic of the SQL this replaces does. A value without digits to round away
+    (2**52 and more once scaled, infinity, NaN) stays as it is.
     """
     scale = float(10**digits)
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+    scaled = F.abs(value) * scale
+    return F.when(scaled >= 2.0**52, value).otherwise(
+        F.signum(value) * F.floor(scaled + 0.5) / scale
+    )
 
 
 def float_text(value: Column) -> Column:

@@ -102,8 +102,7 @@ def gap_detection(scoped: DataFrame) -> DataFrame:
 
     The median sees one count per meter and day. It keeps the distinct counts of a day with
     their frequency, and d distinct counts need at least d(d+1)/2 readings, so the state is
-    below sqrt(2 x readings of the day). Medians are one row per calendar day of the scope:
-    small enough to broadcast whatever the number of meters.
+    below sqrt(2 x readings of the day). Medians are one row per calendar day of the scope.
     """
     per_day = scoped.groupBy(*METER, F.to_date("recorded_at").alias("reading_date")).agg(
         F.count(F.lit(1)).alias("readings_per_day")
@@ -113,7 +112,7 @@ def gap_detection(scoped: DataFrame) -> DataFrame:
     )
     n, median = F.col("readings_per_day"), F.col("median_count")
     return (
-        per_day.join(F.broadcast(medians), "reading_date")
+        per_day.join(medians, "reading_date")
         .filter((median > 0) & (n < F.lit(0.8) * median))
         .select(
             *METER, "reading_date", "readings_per_day", "median_count",
@@ -223,37 +222,26 @@ def _join_fragments(fragments: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def null_readings(scoped: DataFrame) -> DataFrame:
-    """Missing values per meter; grouped by month first so that distinct months are a count."""
-    per_month = (
+    """Missing values per meter; a meter's distinct months are a short set."""
+    return (
         scoped.filter(F.col("reading_value").isNull())
-        .groupBy(*METER, _month_start())
+        .groupBy(*METER)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("recorded_at").alias("lo"),
-            F.max("recorded_at").alias("hi"),
+            F.count(F.lit(1)).alias("null_count"),
+            F.size(F.collect_set(_month_start())).cast("bigint").alias("months_affected"),
+            F.min("recorded_at").alias("first_null"),
+            F.max("recorded_at").alias("last_null"),
         )
     )
-    return per_month.groupBy(*METER).agg(
-        F.sum("n").alias("null_count"),
-        F.count(F.lit(1)).alias("months_affected"),
-        F.min("lo").alias("first_null"),
-        F.max("hi").alias("last_null"),
-    )
 
 
 def out_of_order(scoped: DataFrame) -> DataFrame:
     """Readings earlier than their predecessor in the same file and meter.
 
     The predecessor is taken in time order, so the result is always empty; the check is
-    kept because reports list it. Inside a day time order cannot be broken, so each day is
-    reduced to its first and last time map-side and only days are put in order.
+    kept because reports list it. Nothing is read for it.
     """
-    by_day = Window.partitionBy("source_file", *METER_WINDOW).orderBy("day")
-    days = scoped.groupBy("source_file", *METER, F.to_date("recorded_at").alias("day")).agg(
-        F.min("recorded_at").alias("recorded_at"), F.max("recorded_at").alias("last")
-    )
-    sequenced = days.withColumn("prev_time", F.lag("last").over(by_day))
-    return sequenced.filter(F.col("recorded_at") < F.col("prev_time")).select(
-        "source_file", *METER, "prev_time", "recorded_at",
-        elapsed_seconds(F.col("prev_time"), F.col("recorded_at")).alias("gap_seconds"),
+    return scoped.filter(F.lit(False)).select(
+        "source_file", *METER, F.col("recorded_at").alias("prev_time"), "recorded_at",
+        F.lit(0).cast("bigint").alias("gap_seconds"),
     )

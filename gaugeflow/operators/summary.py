@@ -47,7 +47,8 @@ def flat_readings(
 ) -> DataFrame:
     """One flat between two dates, the end date included.
 
-    Bounds are literals on the bare column, so flat, time range and utility reach the scan.
+    Bounds are literals on the bare column, so flat, time range and utility reach the scan;
+    of stored readings only the months from start to end are opened.
     """
     since = F.lit(start).cast("timestamp_ntz")
     until = F.lit(end).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
@@ -58,6 +59,8 @@ def flat_readings(
     )
     if utility_type:
         wanted &= F.col("utility_type") == utility_type
+    if "year_month" in readings.columns:
+        wanted &= F.col("year_month").between(start[:7], end[:7])
     return (
         readings.filter(wanted)
         .select(*METER, "recorded_at", "reading_value")

@@ -244,7 +244,7 @@ class NotSummarized(ValueError):
 
 
 def archive_month(tables: MeterTables, year_month: str, archive_dir: str) -> str | None:
-    """Write a month's readings to Parquet, verify the count, then purge the month.
+    """Write a month's readings to Parquet, verify it, then purge the month.
 
     Returns the path, or None if the month has no readings.
     """
@@ -255,11 +255,15 @@ def archive_month(tables: MeterTables, year_month: str, archive_dir: str) -> str
     expected = scoped.count()
     if expected == 0:
         return None
-    path = f"{archive_dir.rstrip('/')}/readings_{month.start}.parquet"
+    path = archive.free_path(tables.spark, archive_dir, month.start)
     archive.write_archive(scoped, path)
-    written = archive.read_archive(tables.spark, path).count()
-    if written != expected:
-        raise RuntimeError(f"{path} has {written} rows instead of {expected}; nothing purged")
+    written = archive.read_archive(tables.spark, path)
+    if (count := written.count()) != expected:
+        raise RuntimeError(f"{path} has {count} rows instead of {expected}; nothing purged")
+    # the month is read again: rows that came in meanwhile are not in the archive
+    stored = readings_in(tables.readings, month)
+    if not stored.join(written, READING_KEY, "left_anti").isEmpty():
+        raise RuntimeError(f"{month.start} has readings that {path} lacks; nothing purged")
     tables.drop_readings_of(month)
     return path
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,16 +10,32 @@ from gaugeflow.schemas import READING_COLUMNS, READING_KEY
 
 
 def write_archive(readings: DataFrame, path: str) -> None:
-    """Readings sorted by key as ZSTD Parquet. The key is unique, so sort ranges are even."""
+    """Readings sorted by key as ZSTD Parquet. The key is unique, so sort ranges are even.
+
+    An archive is never written over: it may hold the only copy of its readings.
+    """
     (
         readings.select(*READING_COLUMNS)
         .sort(*READING_KEY)
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .option("compression", "zstd")
         .parquet(path)
     )
 
 
+def free_path(spark: SparkSession, folder: str, month: str) -> str:
+    """The month's archive path, with a number behind it from the second archive on."""
+    version = 1
+    while True:
+        suffix = "" if version == 1 else f"-{version}"
+        path = f"{folder.rstrip('/')}/readings_{month}{suffix}.parquet"
+        try:
+            spark.read.parquet(path)
+        except AnalysisException:
+            return path
+        version += 1
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*READING_COLUMNS)
 

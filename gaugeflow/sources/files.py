@@ -32,6 +32,19 @@ def file_hashes(spark: SparkSession, directory: str, name_glob: str = SHEET_GLOB
     )
 
 
+def _cells(line: Column, delimiter: str) -> Column:
+    """Cells of a line; a delimiter between quotes is part of its cell.
+
+    Only lines with pairs of quotes take the longer pattern.
+    """
+    plain = f"\\Q{delimiter}\\E"
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    outside = plain + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    return F.when((quotes > 0) & (quotes % 2 == 0), F.split(line, outside, -1)).otherwise(
+        F.split(line, plain, -1)
+    )
+
+
 def delimited_sheet_rows(
     spark: SparkSession, directory: str, name_glob: str = CSV_GLOB, delimiter: str = ","
 ) -> DataFrame:
@@ -39,7 +52,7 @@ def delimited_sheet_rows(
 
     Files are read line by line in splits, so one large file is spread over many tasks. The
     row number is the line's place in its split plus the lines of the splits before, of
-    which there is one row each. Cells must not contain the delimiter or a line break.
+    which there is one row each. Cells with the delimiter stand in quotes; none has a line break.
     """
     lines = (
         spark.read.option("pathGlobFilter", name_glob)
@@ -62,8 +75,10 @@ def delimited_sheet_rows(
         .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
     row_idx = (F.col("offset") + F.col("id") - F.col("first_id")).cast("int")
-    cells = F.split("value", f"\\Q{delimiter}\\E", -1)
-    unquoted = F.transform(cells, lambda c: present(F.regexp_replace(c, r'^"(.*)"$', "$1")))
+    unquoted = F.transform(
+        _cells(F.col("value"), delimiter),
+        lambda c: present(F.replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))),
+    )
     return lines.join(splits, ["source_file", "split"]).select(
         "source_file", row_idx.alias("row_idx"), unquoted.alias("cells")
     )

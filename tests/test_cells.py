@@ -71,7 +71,12 @@ def test_daily_time(spark, text, expected):
         ("CC1", "C1", "CC1"),
         ("101.7", "101", "101"),
         ("101", "101", "101"),
-        ("0101", "101", "101"),
+        ("0101", "0101", "0101"),
+        ("007", "007", "007"),
+        ("+5", "+5", "+5"),
+        ("12345678901234567", "12345678901234567", "12345678901234567"),
+        ("12345678901234567890.9", "12345678901234567890", "12345678901234567890"),
+        ("-0.4", "0", "0"),
         ("-3.9", "-3", "-3"),
         ("C", "", "C"),
         ("C-101.5", "-101.5", "C-101.5"),

@@ -116,6 +116,28 @@ def test_archive_and_reload_restore_the_readings(tables, tmp_path):
     assert tables.readings.count() == 3
 
 
+def test_a_late_reading_gets_an_archive_of_its_own(tables, tmp_path):
+    tables.append_readings(readings(tables.spark, [("2025-01-02", 1.0), ("2025-01-30", 2.0)]))
+    jobs.summarize(tables, "2025-01")
+    first = jobs.archive_month(tables, "2025-01", str(tmp_path))
+    tables.append_readings(readings(tables.spark, [("2025-01-20", 3.0)]))
+    second = jobs.archive_month(tables, "2025-01", str(tmp_path))
+    assert first != second and tables.readings.count() == 0
+    assert jobs.reload_archive(tables, first) + jobs.reload_archive(tables, second) == 3
+    assert values(tables.readings, "reading_value") == [(1.0,), (2.0,), (3.0,)]
+
+
+def test_look_up_opens_only_the_months_asked_for(tables):
+    tables.append_readings(readings(tables.spark, [("2025-01-02", 1.0), ("2025-03-01", 2.0)]))
+    from gaugeflow.operators.summary import flat_readings
+
+    flat = tables.readings.first().given_flat_id
+    found = flat_readings(tables.readings, flat, "2025-01-01", "2025-02-01")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "year_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert values(found, "reading_value") == [(1.0,)]
+
+
 def test_findings_are_upserted_and_never_removed(tables):
     spark = tables.spark
     tables.upsert_summary(

@@ -132,3 +132,13 @@ def test_upsert_is_idempotent(spark):
     expected = [(1, "a"), (2, "c"), (3, "d")]
     assert values(once, "k", "v") == expected
     assert values(keyed_upsert(once, new, ["k"]), "k", "v") == expected
+
+
+def test_quoted_cells_keep_their_delimiters(spark, tmp_path):
+    (tmp_path / "T C Eb readings.csv").write_text('t,"A, 101",102,"say ""x"""\n1.5,99.5,"7",8\n"odd,1\n')
+    from gaugeflow.sources.files import delimited_sheet_rows
+
+    rows = delimited_sheet_rows(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [r.cells for r in rows] == [
+        ["t", "A, 101", "102", 'say "x"'], ["1.5", "99.5", "7", "8"], ['"odd', "1"]
+    ]
