@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import elapsed_seconds, exact_mean, round_half_away
+from gaugeflow.functions.numbers import elapsed_seconds, exact_mean, exact_sum, round_half_away
 from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
 from gaugeflow.schemas import METER, METER_WINDOW
@@ -126,22 +126,32 @@ def spike_detection(readings: Readings) -> DataFrame:
     """Increases more than three standard deviations above the meter's mean increase.
 
     Mean and deviation are windows over the rows that are already clustered by meter. For
-    sliced meters they are combined map-side and joined back to the slices instead.
+    sliced meters they are combined map-side and joined back to the slices instead. Both ways
+    add the same parts exactly: squares of the distance from the mean as a share of the widest
+    one, so that neither the order of rows nor their size changes the sum.
     """
     lagged, delta = readings.lagged, F.col("delta")
     steps = lagged.rows.withColumn("delta", F.col("reading_value") - F.col("prev_value")).filter(
         delta >= 0
     )
+    widest = F.greatest(F.col("high") - F.col("mean"), F.col("mean") - F.col("low"))
+    share = (delta - F.col("mean")) / F.nullif(widest, F.lit(0.0))
     if lagged.hot is None:
         meter = Window.partitionBy(*METER_WINDOW)
         scored = steps.withColumns(
-            {"mean": exact_mean(delta, over=meter), "std": F.stddev_samp(delta).over(meter)}
-        )
+            {"mean": exact_mean(delta, over=meter), "low": F.min(delta).over(meter),
+             "high": F.max(delta).over(meter), "n": F.count(delta).over(meter)}
+        ).withColumn("squares", exact_sum(share * share, over=meter))
     else:
-        stats = steps.groupBy(*METER).agg(
-            exact_mean(delta).alias("mean"), F.stddev_samp(delta).alias("std")
+        firsts = steps.groupBy(*METER).agg(
+            exact_mean(delta).alias("mean"), F.min(delta).alias("low"),
+            F.max(delta).alias("high"), F.count(delta).alias("n"),
         )
-        scored = lagged.join(stats, steps)
+        centred = lagged.join(firsts, steps)
+        squares = centred.groupBy(*METER).agg(exact_sum(share * share).alias("squares"))
+        scored = lagged.join(squares, centred)
+    std = widest * F.sqrt(F.col("squares") / F.nullif(F.col("n") - 1, F.lit(0)))
+    scored = scored.withColumn("std", std)
     z = (delta - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     return (
         scored.filter((delta > 0) & (z > 3))

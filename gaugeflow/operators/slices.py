@@ -7,9 +7,13 @@ window partition, and the last row of a slice is handed to the next one as a car
 Which keys are large is measured first, by one count per key that is combined map-side
 and reads only key and order columns. Without large keys the plan is the plain window.
 
-Bounds: at most MAX_HOT_KEYS keys are sliced, the largest ones. Any other key is smaller
-than each of them, so it holds less than 1/MAX_HOT_KEYS of all rows, or it is below
-min_rows. The list of hot keys is what is collected and broadcast.
+A large key is cut by its own counts: its rows are counted per narrow bucket of the order
+column, and a slice starts wherever the running count passes a multiple of half the target.
+An outlier in time costs one bucket, and a slice holds at most half the target and one bucket.
+
+Bounds: the target is min_rows, or 1/MAX_SLICES of all rows if that is more. Keys above it
+are at most MAX_SLICES and have at most 3 * MAX_SLICES slices together, whatever the input;
+their slice starts are what is collected and broadcast. No large key is left whole.
 """
 
 from __future__ import annotations
@@ -21,20 +25,22 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import elapsed_seconds
 
-MAX_HOT_KEYS = 10_000
+MAX_SLICES = 100_000
 SLICE = "_slice"
+# Steps of a binary search among the starts of one key.
+_STEPS = [1 << bit for bit in reversed(range((3 * MAX_SLICES).bit_length()))]
 
 
 @dataclass(frozen=True)
 class SlicePolicy:
-    """Keys with more than `min_rows` rows are sliced, into slices of about that size.
+    """Keys with more than `min_rows` rows are sliced, into slices of less than that.
 
-    Slices are of equal width along the order column and `oversampling` times as many as
-    an even spread needs, so a burst that is denser than the average still fits.
+    Buckets are `bucket_seconds` wide for timestamps, which readings to the second fill with
+    as many rows at most, and a sixteenth of `min_rows` for row numbers.
     """
 
     min_rows: int = 10_000_000
-    oversampling: int = 16
+    bucket_seconds: int = 3600
 
 
 DEFAULT_POLICY = SlicePolicy()
@@ -61,43 +67,58 @@ class SlicedRows:
         rows = self.rows if rows is None else rows
         if self.hot is None:
             return rows.join(per_key, self.keys)
-        all_slices = F.sequence(F.lit(1).cast("bigint"), F.col("_slices"))
-        only_slice = F.array(F.lit(0).cast("bigint"))
+        all_slices = F.sequence(F.lit(1), F.size("_starts"))
+        only_slice = F.array(F.lit(0))
         copies = (
             per_key.join(F.broadcast(self.hot), self.keys, "left")
             .withColumn(SLICE, F.explode(F.coalesce(all_slices, only_slice)))
-            .drop("_lo", "_width", "_slices")
+            .drop("_starts")
         )
         return rows.join(copies, self.cluster)
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """Order column as a long: seconds for timestamps, the value itself for integers."""
+def _bucket(df: DataFrame, order: str, policy: SlicePolicy) -> Column:
+    """Bucket of the order column, a long that grows with it."""
     if df.schema[order].dataType.typeName() == "timestamp_ntz":
-        return elapsed_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), F.col(order))
-    return F.col(order).cast("bigint")
+        since = elapsed_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), F.col(order))
+        return F.floor(since / policy.bucket_seconds)
+    return F.floor(F.col(order) / max(policy.min_rows // 16, 1))
+
+
+def _slice_of(bucket: Column) -> Column:
+    """Number of starts up to the bucket, by binary search."""
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get("_starts", found + step - 1) <= bucket, found + step).otherwise(found)
+
+    search = F.aggregate(F.array(*map(F.lit, _STEPS)), F.lit(0), further)
+    return F.when(F.col("_starts").isNotNull(), search).otherwise(F.lit(0))
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], order: str, policy: SlicePolicy
 ) -> DataFrame | None:
-    """The keys to slice as (keys, _lo, _width, _slices), or None. Runs one small job."""
-    at = _position(df, order)
-    largest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .filter(F.col("_n") > policy.min_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-    )
-    wanted = F.ceil(F.col("_n") / policy.min_rows) * policy.oversampling
-    sized = (
-        largest.withColumn("_width", F.ceil((F.col("_hi") - F.col("_lo") + 1) / wanted))
-        .withColumn("_slices", F.expr("(_hi - _lo) div _width + 1"))
-        .select(*keys, "_lo", "_width", "_slices")
-    )
+    """The keys to slice as (keys, _starts), or None. Runs one job, a second one if there are any."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.ceil(sizes.agg(F.sum("_n").alias("total")).scalar() / MAX_SLICES)
+    target = F.greatest(F.lit(policy.min_rows).cast("bigint"), share)
+    sized = sizes.withColumn("_target", target).filter(F.col("_n") > F.col("_target")).drop("_n")
     found = sized.collect()
-    return df.sparkSession.createDataFrame(found, sized.schema) if found else None
+    if not found:
+        return None
+    large = df.sparkSession.createDataFrame(found, sized.schema)
+    so_far = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        df.select(*keys, _bucket(df, order, policy).alias("_bucket"))
+        .join(F.broadcast(large), keys)
+        .groupBy(*keys, "_target", "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+        .groupBy(*keys, F.floor(2 * F.col("_before") / F.col("_target")).alias("_number"))
+        .agg(F.min("_bucket").alias("_start"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_start")).alias("_starts"))
+    )
+    return df.sparkSession.createDataFrame(starts.collect(), starts.schema)
 
 
 def lag_in_slices(
@@ -127,14 +148,11 @@ def lag_in_slices(
 
     sliced = (
         df.join(F.broadcast(hot), keys, "left")
-        .withColumn("_at", _position(df, order))
-        .withColumn(
-            SLICE, F.coalesce(F.expr("(_at - _lo) div _width + 1"), F.lit(0).cast("bigint"))
-        )
+        .withColumn(SLICE, _slice_of(_bucket(df, order, policy)))
     )
     carried = sorted({*previous.values()} - {order})
     last_rows = (
-        sliced.filter(F.col("_lo").isNotNull())
+        sliced.filter(F.col("_starts").isNotNull())
         .groupBy(*keys, SLICE)
         .agg(
             *[F.max_by(name, order).alias(name) for name in carried],

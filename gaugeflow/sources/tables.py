@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,7 @@ from gaugeflow import schemas
 from gaugeflow.functions.period import Period, month_of, summary_in
 from gaugeflow.operators.merge import keyed_upsert
 
-# Only partitions that occur in the written rows are replaced by an overwrite.
-_PARQUET = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic', compression 'zstd')"
+_PARQUET = "USING parquet OPTIONS (compression 'zstd')"
 
 
 class MeterTables:
@@ -57,7 +58,7 @@ class MeterTables:
     def ingestion_log(self) -> DataFrame:
         return self._table("ingestion_log")
 
-    def _write(self, rows: DataFrame, table: str, sort: list[str], overwrite: bool) -> None:
+    def _append(self, rows: DataFrame, table: str, sort: list[str]) -> None:
         """Rows gathered by month and sorted by key: few files, and tight row-group ranges.
 
         The rebalance hint gathers a month's rows but splits a month that is too large for
@@ -68,12 +69,12 @@ class MeterTables:
             rows.select(*columns)
             .hint("rebalance", "year_month")
             .sortWithinPartitions("year_month", *sort)
-            .write.insertInto(self._name(table), overwrite=overwrite)
+            .write.insertInto(self._name(table))
         )
 
     def append_readings(self, readings: DataFrame) -> None:
         rows = readings.withColumn("year_month", month_of(F.col("recorded_at")))
-        self._write(rows, "readings", schemas.READING_KEY, overwrite=False)
+        self._append(rows, "readings", schemas.READING_KEY)
 
     def append_log(self, entries: DataFrame) -> None:
         columns = self.ingestion_log.columns
@@ -82,11 +83,34 @@ class MeterTables:
     def _upsert(self, table: str, rows: DataFrame, key: list[str], period: Period | None) -> None:
         """Replace rows by key within the months of the period; other months are not read.
 
-        Months of the period without incoming rows are not written and stay as they are.
+        The merged months are written to a folder of their own; then the table's partitions
+        are pointed to it. The rows that were read stay where they are, so a run that fails
+        on the way leaves every month either as it was or replaced. Earlier versions are kept.
         """
         existing = self._table(table)
         merged = keyed_upsert(summary_in(existing, period), rows.select(*existing.columns), key)
-        self._write(merged, table, key, overwrite=True)
+        folder = f"{self._location(table)}-versions/{uuid.uuid4().hex}"
+        (
+            merged.hint("rebalance", "year_month")
+            .sortWithinPartitions("year_month", *key)
+            .write.partitionBy("year_month").option("compression", "zstd").parquet(folder)
+        )
+        self._point_to(table, folder)
+
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self._name(table)}")
+        return described.filter("col_name = 'Location'").first().data_type.rstrip("/")
+
+    def _point_to(self, table: str, folder: str) -> None:
+        """Switch the months found in the folder; a short list, one entry per month."""
+        months = self.spark.read.schema("year_month string").parquet(folder).distinct().collect()
+        for month in sorted(row.year_month for row in months):
+            partition = f"PARTITION (year_month = '{month}')"
+            place = f"{folder}/year_month={month}"
+            alter = f"ALTER TABLE {self._name(table)}"
+            self.spark.sql(f"{alter} ADD IF NOT EXISTS {partition} LOCATION '{place}'")
+            self.spark.sql(f"{alter} {partition} SET LOCATION '{place}'")
+        self.spark.catalog.refreshTable(self._name(table))
 
     def upsert_summary(self, summary: DataFrame, period: Period | None) -> None:
         rows = summary.withColumn("computed_at", F.localtimestamp())

@@ -98,7 +98,7 @@ def _skewed(spark, seed):
 @pytest.mark.parametrize(("seed", "min_rows"), [(1, 10), (2, 100), (3, 10)])
 def test_slices_give_what_plain_windows_give(spark, seed, min_rows):
     rows = _skewed(spark, seed).cache()
-    policy = SlicePolicy(min_rows=min_rows, oversampling=1 if seed == 1 else 16)
+    policy = SlicePolicy(min_rows=min_rows, bucket_seconds=600 if seed == 1 else 3600)
     sliced, plain = granular.Readings(rows, policy), granular.Readings(rows)
     assert sliced.lagged.hot is not None and plain.lagged.hot is None
     for check in (granular.backward_readings, granular.spike_detection, granular.stale_runs):
@@ -128,6 +128,34 @@ def test_only_large_keys_are_hot(spark):
     assert hot_keys(rows, keys, "recorded_at", SlicePolicy()) is None
 
 
+def test_an_outlier_in_time_does_not_undo_the_slices(spark):
+    even = spark.range(20_000).select(
+        F.lit("Gas").alias("utility_type"), F.lit("F1").alias("given_flat_id"),
+        (F.lit(at("2025-01-01")) + F.make_dt_interval(mins=F.col("id").cast("int") * 15))
+        .cast("timestamp_ntz").alias("recorded_at"),
+        F.sqrt("id").alias("reading_value"),
+    )
+    typo = even.limit(1).withColumn("recorded_at", F.lit(at("0205-01-01")).cast("timestamp_ntz"))
+    cut = granular.Readings(even.unionByName(typo), SlicePolicy(min_rows=1000)).lagged
+    sizes = [row["count"] for row in cut.rows.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_001 and max(sizes) < 2000 and len(sizes) > 10
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-7, 1e12])
+def test_mean_and_deviation_are_bit_equal_in_slices(spark, size):
+    chance = random.Random(5)
+    rows, value = [], 0.0
+    for i in range(900):
+        value += size * (chance.random() ** 7 * 1000 if i % 90 else 3e4)
+        time = at("2025-01-01") + timedelta(minutes=15 * i)
+        rows.append((("HOT", "B", "C")[0 if i % 2 else i % 3], time.isoformat(), value))
+    rows = readings(spark, rows).cache()
+    sliced = granular.Readings(rows, SlicePolicy(min_rows=50))
+    found = values(granular.spike_detection(sliced), "*")
+    assert sliced.lagged.hot is not None and found
+    assert found == values(granular.spike_detection(granular.Readings(rows)), "*")
+
+
 def test_repeat_offenders_merge_utilities_and_nulls_stay_per_meter(spark):
     gas = [("2025-01-01", 5.0), ("2025-01-02", 4.0), ("2025-01-03", None), ("2025-02-03", None)]
     water = [("2025-02-01", 5.0), ("2025-02-02", 4.0)]

@@ -191,3 +191,20 @@ def _reading(time, value):
     from tests.helpers import at
 
     return at(time), value
+
+
+def test_an_upsert_that_fails_before_the_switch_leaves_the_old_rows(tables, monkeypatch):
+    tables.append_readings(readings(tables.spark, [("2025-01-01", 1.0), ("2025-01-31", 4.0)]))
+    jobs.summarize(tables, "2025-01")
+    tables.append_readings(readings(tables.spark, [("2025-01-31 12:00", 9.0)]))
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_point_to", fail)
+        with pytest.raises(OSError):
+            jobs.summarize(tables, "2025-01")
+    assert values(tables.monthly_summary, "closing_reading") == [(4.0,)]
+    jobs.summarize(tables, "2025-01")
+    assert values(tables.monthly_summary, "closing_reading") == [(9.0,)]
