@@ -296,6 +296,15 @@ def repeat_offenders(spark, sf_dir):
     return jobs.detect_discrepancies(readings, ALL_YEARS).repeat_offenders
 
 
+def repeat_offenders_with_nulls(spark, sf_dir):
+    """The readings of every ninth day of a month are missing."""
+    missing = F.dayofmonth("recorded_at") % 9 == 0
+    readings = bind.shipment_readings(spark, sf_dir).withColumn(
+        "reading_value", F.when(~missing, F.col("reading_value"))
+    )
+    return jobs.detect_discrepancies(readings, ALL_YEARS).repeat_offenders
+
+
 def granular_scan_report(spark, sf_dir):
     return jobs.detect_discrepancies(bind.event_readings(spark, sf_dir), "2024-01").report
 
@@ -391,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "null_readings": _on_r1(granular.null_readings),
     "out_of_order": _on_r1(granular.out_of_order),
     "repeat_offenders": repeat_offenders,
+    "repeat_offenders_with_nulls": repeat_offenders_with_nulls,
     "granular_scan_report": granular_scan_report,
     # the same with one meter holding a third of the rows, cut into many slices
     "backward_readings_skewed": _sliced_r1(granular.backward_readings),
@@ -419,6 +429,10 @@ QUERIES: dict[str, Query] = {
     "zero_profiles": _on_summary(coverage.zero_profiles, QUARTER),
     "zero_profile_patterns": _on_summary(coverage.zero_profile_patterns, QUARTER),
     "coverage_summary": _on_summary(coverage.coverage_summary, QUARTER),
+    "utilities_in_all_months": _on_summary(coverage.utilities_in_scope),
+    "zero_profiles_all_months": _on_summary(coverage.zero_profiles),
+    "zero_profile_patterns_all_months": _on_summary(coverage.zero_profile_patterns),
+    "coverage_summary_all_months": _on_summary(coverage.coverage_summary),
     # recorded findings, ingestion checks
     "discrepancy_report": discrepancy_report,
     "discrepancy_counts": discrepancy_counts,
