@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import decontamination, language_id, packing, simhash, substrings
+from gaugeflow.llm import decontamination, language_id, near_copies, packing, substrings
 from gaugeflow.llm.queries import BENCHMARK_WINDOW, WINDOW, table, tokenizer_path
 from gaugeflow.sources.workspace import new_folder
 
@@ -39,9 +39,9 @@ def keep_identified(spark: SparkSession, documents: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near duplicates."""
+    """The document with the least doc_id of each group whose five-word shingles agree to 0.8."""
     once = _id_once(documents)
-    groups = simhash.near_duplicates(once)
+    groups = near_copies.near_copies(once)
     kept = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("gaugeflow_kept_id"))
     return once.join(kept, F.col("doc_id").eqNullSafe(F.col("gaugeflow_kept_id")), "left_semi")
 

@@ -1,0 +1,259 @@
+"""Near copies by word shingles: SimHash tiles for a given similarity of the shingle sets.
+
+The fingerprints of `simhash` tell copies that differ in a few bits of 64. Texts whose sets of
+five-word shingles have a similarity (Jaccard) of 0.8 differ in ten of 64 bits, give or take
+three, so here a fingerprint has 512 bits and the radius follows from the similarity: the
+angle of two such sets, plus one and a half deviations so that few pairs at the edge are lost.
+Sets whose sizes alone rule the similarity out are never linked.
+
+Texts meet in buckets of the least of their shingles under eight hash functions; two sets of
+similarity 0.8 share none of the eight with a probability of 0.000003. A bucket beyond
+`bucket_rows` is cut again by the least shingles of the other functions, twice at most (three
+are shared with a probability of 0.999). Within a bucket, tiles are compared with exclusive-or
+and bit counts; tiles whose bit counts are further apart than the radius are skipped, and so
+are texts that are in one class already, so that a large group of near copies takes few
+comparisons. A bucket hands on a forest of links; the classes are joined up over all buckets.
+
+Cases: null texts and texts without words are one class; a text of fewer words than a shingle
+is one shingle; copies, also in other case or spacing, are one set in all comparisons; a null
+doc_id counts only where a class has no other; an empty table gives an empty result; further
+columns are ignored.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaugeflow.llm.components import components
+from gaugeflow.llm.simhash import SMALL_BUCKET, TILE, _forest
+from gaugeflow.llm.words import WINDOW_BASES, Texts, Words, map_slices, mix, windows
+from gaugeflow.sources.workspace import new_folder
+
+LANES = 8  # of 64 bits; also the number of least shingles
+SEEDS = np.random.default_rng(20240102).integers(1, 2**63, LANES, dtype=np.uint64)
+SET, CODE, LEAST = ["n0", "n1"], [f"c{i}" for i in range(LANES)], [f"k{i}" for i in range(LANES)]
+RUN = 255  # shingles whose bits are added up in bytes
+
+
+def radius_of(similarity: float) -> int:
+    """Bits in which the fingerprints of two sets of this similarity differ at most."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * LANES
+    return int(bits * share + 1.5 * math.sqrt(bits * share * (1 - share)))
+
+
+def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct shingles of each text and the number of their text, in its order."""
+    words = Words(Texts(column), lower=True)
+    h, text = words.hashes(), words.text_of_words()
+    grams = windows(h, shingle, WINDOW_BASES[0])
+    at = np.flatnonzero(text[: len(grams)] == text[shingle - 1 :]) if len(grams) else np.zeros(0, np.int64)
+    values, owners = [grams[at]], [text[at]]
+    for width in range(1, shingle):
+        few = np.flatnonzero(words.counts == width)
+        if len(few):
+            values.append(windows(h, width, WINDOW_BASES[0])[words.offsets[few]])
+            owners.append(few)
+    value, owner = np.concatenate(values), np.concatenate(owners)
+    order = np.lexsort((value, owner))
+    value, owner = value[order], owner[order]
+    fresh = np.ones(len(value), bool)
+    fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    return value[fresh], owner[fresh]
+
+
+def sketches_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: the name of its set, its size, the fingerprint and the least shingles."""
+    value, owner = shingle_sets(column, shingle)
+    n = len(column)
+    size = np.bincount(owner, minlength=n).astype(np.int64)
+    names, codes, least = np.zeros((n, 2), np.uint64), np.zeros((n, LANES), np.uint64), np.zeros((n, LANES), np.uint64)
+    full = np.flatnonzero(size)
+    if not len(full):
+        return names, size, codes, least
+    first = (np.cumsum(size) - size)[full]
+    names[full, 0] = np.add.reduceat(value, first)
+    names[full, 1] = np.add.reduceat(mix(value), first)
+    runs = (size[full] + RUN - 1) // RUN
+    before = np.cumsum(runs) - runs
+    run_first = np.repeat(first - RUN * before, runs) + RUN * np.arange(int(runs.sum()))
+    for lane in range(LANES):
+        spread = mix(value ^ SEEDS[lane])
+        least[full, lane] = np.minimum.reduceat(spread, first)
+        bits = np.unpackbits(spread.view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+        in_runs = np.add.reduceat(bits, run_first, axis=0).view(np.uint8)
+        sums = np.add.reduceat(in_runs, before, axis=0, dtype=np.int64)
+        codes[full, lane] = np.packbits(2 * sums > size[full, None], axis=1).view(np.uint64).ravel()
+    return names, size, codes, least
+
+
+def sketches(documents: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and the sketch of every document, all of it in long columns."""
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    names = [*SET, "size", *CODE, *LEAST]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        name, size, codes, least = sketches_of(batch.column(1), shingle)
+        columns = [*name.T, size, *codes.T, *least.T]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc_id", *names])
+
+    return map_slices(rows, "text", work, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{c} long" for c in names))
+
+
+def _small_buckets(keys, codes, size, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked positions: each row against those behind it in its bucket."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, len(keys)):
+        same = np.flatnonzero(keys[step:] == keys[:-step])
+        if not len(same):
+            break
+        a, b = size[same], size[same + step]
+        same = same[np.minimum(a, b) >= share * np.maximum(a, b)]
+        same = same[np.bitwise_count(codes[same] ^ codes[same + step]).sum(1, dtype=np.int64) <= radius]
+        left.append(same)
+        right.append(same + step)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _large_bucket(codes: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[list[int], list[int]]:
+    """A forest of links within one bucket; each tile meets the rows behind it that are not in
+    its class yet, and every row is in one tile."""
+    n = len(codes)
+    weight = np.bitwise_count(codes).sum(1, dtype=np.int64)
+    root, left, right = np.arange(n), [], []
+    pending = np.argsort(weight, kind="stable")
+    while len(pending):
+        tile, pending = pending[:TILE], pending[TILE:]
+        one_class = bool((root[tile] == root[tile[0]]).all())
+        others = pending[root[pending] != root[tile[0]]] if one_class else pending
+        low, high = weight[tile].min() - radius, weight[tile].max() + radius
+        others = others[(weight[others] >= low) & (weight[others] <= high)]
+        blocks = [others[i : i + 8 * TILE] for i in range(0, len(others), 8 * TILE)]
+        found = [np.zeros((0, 2), np.int64)]
+        for block in blocks if one_class else [tile, *blocks]:
+            distance = np.zeros((len(tile), len(block)), np.int16)
+            for lane in range(LANES):
+                distance += np.bitwise_count(codes[tile, lane][:, None] ^ codes[block, lane][None])
+            a, b = size[tile][:, None], size[block][None]
+            near = np.nonzero((distance <= radius) & (np.minimum(a, b) >= share * np.maximum(a, b)))
+            pairs = np.stack([root[tile[near[0]]], root[block[near[1]]]], 1)
+            found.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
+        pairs = np.concatenate(found)
+        if not len(pairs):
+            continue
+        joined = _forest(pairs[:, 0], pairs[:, 1])
+        left += joined[0]
+        right += joined[1]
+        root = _merged(root, np.array(joined[0]), np.array(joined[1]))
+        pending = pending[np.lexsort((weight[pending], root[pending]))]
+    return left, right
+
+
+def _merged(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Roots after classes were linked: the least root of each new class."""
+    up = np.arange(len(root))
+    while True:
+        low = np.minimum(up[left], up[right])
+        after = up.copy()
+        np.minimum.at(after, left, low)
+        np.minimum.at(after, right, low)
+        after = after[after]
+        if (after == up).all():
+            return up[root]
+        up = after
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int, share: float) -> Iterator[pa.RecordBatch]:
+    def links(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, size, codes = rows[:, 0], rows[:, 3], rows[:, 4:].view(np.uint64)
+        first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+        count = np.diff(np.append(first, len(keys)))
+        small = np.flatnonzero(np.repeat(count <= SMALL_BUCKET, count))
+        a, b = _forest(*_small_buckets(keys[small], codes[small], size[small], radius, share))
+        left, right = [small[a]] if a else [], [small[b]] if b else []
+        for at, n in zip(first[count > SMALL_BUCKET], count[count > SMALL_BUCKET], strict=True):
+            a, b = _large_bucket(codes[at : at + n], size[at : at + n], radius, share)
+            if a:
+                left.append(at + np.array(a))
+                right.append(at + np.array(b))
+        if left:
+            u, v = rows[np.concatenate(left), 1:3], rows[np.concatenate(right), 1:3]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c)) for c in (*u.T, *v.T)], ["u0", "u1", "v0", "v1"])
+
+    kept: list[np.ndarray] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([c.to_numpy() for c in batch.columns], 1)
+        last = np.flatnonzero(rows[:, 0] != rows[-1, 0])
+        whole = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on in the next batch
+        if whole == 0 and kept and kept[-1][-1, 0] != rows[0, 0]:
+            yield from links(np.concatenate(kept))
+            kept = []
+        if whole:
+            yield from links(np.concatenate([*kept, rows[:whole]]))
+            kept = []
+        kept.append(rows[whole:])
+    if kept:
+        yield from links(np.concatenate(kept))
+
+
+def links(sets: DataFrame, similarity: float = 0.8, bucket_rows: int = 4096) -> DataFrame:
+    """u, v: links between the names of distinct sets (columns as in `sketches`)."""
+    each = [F.struct(F.xxhash64(F.lit(i), F.col(k)).alias("key"), F.lit(i).alias("last")) for i, k in enumerate(LEAST)]
+    rows = sets.select("*", F.inline(F.array(*each)))
+    ready = None
+    for level in range(3):
+        buckets = rows
+        if level < 2:
+            hot = rows.groupBy("key").count().filter(F.col("count") > bucket_rows).select("key").checkpoint()
+            none = hot.isEmpty()
+            if not none:
+                buckets = rows.join(hot, "key", "left_anti")
+                further = [
+                    F.when(F.col("last") < i, F.struct(
+                        F.xxhash64(F.col("key"), F.lit(i), F.col(k)).alias("key"), F.lit(i).alias("last")))
+                    for i, k in enumerate(LEAST)]
+                rows = rows.join(hot, "key", "left_semi").select(
+                    *sets.columns, F.inline(F.array_compact(F.array(*further))))
+        own = buckets.select("key", *SET, "size", *CODE)
+        ready = own if ready is None else ready.unionByName(own)
+        if level < 2 and none:
+            break
+    radius = radius_of(similarity)
+    dealt = ready.repartition("key").sortWithinPartitions("key")
+    found = dealt.mapInArrow(
+        lambda batches: _bucket_links(batches, radius, similarity), "u0 long, u1 long, v0 long, v1 long")
+    return found.select(
+        F.struct(F.col("u0").alias("a"), F.col("u1").alias("b")).alias("u"),
+        F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")).alias("v"))
+
+
+def near_copies(
+    documents: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text",
+    bucket_rows: int = 4096,
+) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable) of every document."""
+    spark = documents.sparkSession
+    folder = new_folder(spark, "sketches")
+    sketches(documents, shingle, doc_id, text).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    stored = new_folder(spark, "sets")
+    rows.groupBy(*SET).agg(
+        F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ["size", *CODE, *LEAST])).write.parquet(stored)
+    sets = spark.read.parquet(stored)
+    name = F.struct(F.col("n0").alias("a"), F.col("n1").alias("b"))
+    found = components(links(sets.drop("least_id"), similarity, bucket_rows))
+    reached = found.join(sets.select(name.alias("node"), "least_id"), "node")
+    least = reached.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    moved = reached.join(least, "root").select(F.col("node.a").alias("n0"), F.col("node.b").alias("n1"), "component_id")
+    ids = sets.join(moved, SET, "left").select(*SET, F.coalesce("component_id", "least_id").alias("component_id"))
+    return rows.join(ids, SET).select("doc_id", "component_id")

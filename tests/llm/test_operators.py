@@ -13,8 +13,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    chat_format, decontamination, html_extraction, language_id, language_model, packing, quality_rules, simhash,
-    substrings, warc,
+    chat_format, decontamination, html_extraction, language_id, language_model, near_copies, packing,
+    quality_rules, simhash, substrings, warc,
 )
 from gaugeflow.llm.components import components
 from gaugeflow.llm.words import Texts, Words, windows
@@ -218,6 +218,66 @@ def test_links_join_all_near_codes(spark, bucket_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+# near copies
+
+def brute_classes(texts: list[str | None], similarity: float = 0.8) -> list[int]:
+    """Classes of texts whose sets of five-word shingles have the similarity."""
+    sets = []
+    for t in texts:
+        words = split("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if root[i] != root[j] and (a == b or len(a & b) >= similarity * len(a | b)):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_near_copies(spark, documents, nothing, texts):
+    root = brute_classes([t for _, t in texts])
+    ids = [min((d for (d, _), r in zip(texts, root, strict=True) if r == c and d is not None), default=None) for c in root]
+    found = near_copies.near_copies(documents).collect()
+    assert sorted(map(str, found)) == sorted(f"Row(doc_id={d}, component_id={c})" for (d, _), c in zip(texts, ids, strict=True))
+    assert near_copies.near_copies(nothing).count() == 0
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 20])
+def test_near_copies_of_a_large_group(spark, bucket_rows):
+    r = random.Random(11)
+    base, shared = prose(50, 400).split(), prose(51, 60)
+    texts = [prose(100 + i, 300) + " " + shared for i in range(80)]  # a common passage links nothing
+    for i in range(150):
+        words = list(base)
+        for at in r.sample(range(400), 2):
+            words[at] = f"edit{i}x{at}"
+        texts.append(" ".join(words))
+    texts += [t.upper() + "  " + prose(900 + i, 4) for i, t in enumerate(texts[:40])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: x.component_id for x in near_copies.near_copies(frame, bucket_rows=bucket_rows).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_large_bucket_links_all_near_fingerprints():
+    r = np.random.default_rng(3)
+    codes = r.integers(0, 2**63, (300, 8), dtype=np.uint64)
+    chain = [codes[0]]
+    for _ in range(600):  # chains whose ends are far apart, and one dense ball
+        flips = np.packbits(r.permutation(np.arange(512) < 30)).view(np.uint64)
+        chain.append((chain[-1] if r.random() < 0.3 else codes[r.integers(0, 300)]) ^ flips)
+    codes = np.concatenate([codes, np.array(chain)])
+    size = r.integers(90, 125, len(codes))
+    distance = np.bitwise_count(codes[:, None] ^ codes[None]).sum(2)
+    near = (distance <= 40) & (np.minimum(size[:, None], size[None]) >= 0.8 * np.maximum(size[:, None], size[None]))
+    wanted = np.arange(len(codes))
+    while ((after := np.where(near, wanted[None], len(codes)).min(1)) != wanted).any():
+        wanted = after
+    left, right = near_copies._large_bucket(codes, size, 40, 0.8)
+    assert len(left) == len(codes) - len(set(wanted.tolist()))
+    assert (wanted[left] == wanted[right]).all()
+
+
 # WARC
 
 def test_archives(spark):

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from gaugeflow.llm import queries
-from tests.llm.test_operators import SCHEMA, brute_components, brute_hits, brute_removed, fingerprint, prose, texts  # noqa: F401
+from tests.llm.test_operators import SCHEMA, brute_classes, brute_hits, brute_removed, prose, texts  # noqa: F401
 from verification.compare import _rows, connect
 
 pipeline = pytest.importorskip("corpus_pipeline")
@@ -29,7 +29,7 @@ def test_stages(spark, texts, tmp_path):  # noqa: F811
     assert {i for i, _ in seen[0]} == {r[0] for r in rows} - {6, 7, 8, 17}
     # one of each group, and one row of the repeated id
     once = list(dict(seen[0]).items())
-    root = brute_components([fingerprint(t) for _, t in once], 3)
+    root = brute_classes([t for _, t in once])
     groups = {}
     for (i, _), r in zip(once, root, strict=True):
         groups.setdefault(r, []).append(i)
