@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.cells import parse_time_24h, present
-from gaugeflow.operators.sheets import drop_repeated_times, flat_cells, sheet_columns
+from gaugeflow.operators.sheets import (
+    drop_repeated_times, flat_cells, parse_filenames, sheet_columns,
+)
 from gaugeflow.operators.slices import DEFAULT_POLICY, SlicePolicy
 
 DAILY_COLUMNS = ["Type_of_utility", "given_flat_id", "date", "starting_reading", "closing_reading"]
@@ -43,6 +45,15 @@ def daily_open_close(sheet_rows: DataFrame, policy: SlicePolicy = DEFAULT_POLICY
     )
 
 
+def unusable_files(files: DataFrame) -> DataFrame:
+    """Files (source_file) that give no daily records because of their name, and why."""
+    return (
+        parse_filenames(files)
+        .filter(F.col("reject_reason").isNotNull())
+        .select("source_file", "reject_reason")
+    )
+
+
 def write_daily_csv(daily: DataFrame, path: str) -> None:
     """Daily records as CSV in file, day and column order (unique, so ranges are even)."""
     (

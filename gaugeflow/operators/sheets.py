@@ -149,6 +149,22 @@ class Sheets:
             )
         )
 
+    def dropped_rows(self) -> DataFrame:
+        """Per file: data rows whose first cell is no time, and rows that repeat a time."""
+        first = cell.present(F.get("cells", F.lit(0)))
+        data = self.sheet_rows.filter((F.col("row_idx") >= FIRST_DATA_ROW) & first.isNotNull())
+        timed = F.count(cell.parse_reading_time(first))
+        kept = self.kept.rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
+        return (
+            data.groupBy("source_file")
+            .agg((F.count(F.lit(1)) - timed).alias("untimed_rows"), timed.alias("timed"))
+            .join(kept, "source_file", "left")
+            .select(
+                "source_file", "untimed_rows",
+                (F.col("timed") - F.coalesce("kept", F.lit(0))).alias("repeated_rows"),
+            )
+        )
+
     def records(self, files: DataFrame | None = None) -> DataFrame:
         """Long readings with their sheet position, of the given files (source_file) or all."""
         columns = self.columns

@@ -20,7 +20,7 @@ from gaugeflow.operators.sheets import Sheets
 from gaugeflow.schemas import READING_COLUMNS, READING_KEY
 from gaugeflow.sources import archive, files
 from gaugeflow.sources.tables import MeterTables
-from gaugeflow.sources.workspace import checkpoint_dir
+from gaugeflow.sources.workspace import new_folder
 
 # -- checks ----------------------------------------------------------------------------
 
@@ -199,12 +199,14 @@ def detect_ingestion_issues(
 def ingest_sheets(tables: MeterTables, sheet_rows: DataFrame, hashes: DataFrame) -> DataFrame:
     """Load the sheets of a run: rows, log entries, and the outcome of every file.
 
-    The parsed batch is checkpointed, so that the months it touches, the insert counts and
-    the append read it back instead of parsing again. Only those months of the stored
-    readings are compared.
+    The numbered rows are written to the shared folder once and read back by every later
+    step; so is the parsed batch. Only the months of the batch are compared with the stored
+    readings. The outcome tells how many rows had no time or repeated one, and how many records
+    were there already (`skipped`).
     """
-    checkpoint_dir(tables.spark)
-    sheets = Sheets(sheet_rows)
+    folder = new_folder(tables.spark, "sheets")
+    sheet_rows.select("source_file", "row_idx", "cells").write.parquet(folder)
+    sheets = Sheets(tables.spark.read.parquet(folder))
     outcomes = intake.file_outcomes(hashes, sheets.contents(), tables.ingestion_log).checkpoint()
     records = sheets.records(intake.ingested_files(outcomes))
     batch = (
@@ -220,9 +222,17 @@ def ingest_sheets(tables: MeterTables, sheet_rows: DataFrame, hashes: DataFrame)
     )
     tables.append_readings(fresh.select(*READING_COLUMNS))
     tables.append_log(intake.log_entries(outcomes, inserted))
-    return outcomes.join(inserted, "source_file", "left").select(
-        "source_file", "outcome", "records",
-        F.coalesce("inserted", F.lit(0)).cast("bigint").alias("inserted"),
+    new = F.coalesce("inserted", F.lit(0)).cast("bigint")
+    loaded = F.col("outcome").isin(intake.INGESTED, intake.LOG_CONFLICT)
+    return (
+        outcomes.join(inserted, "source_file", "left")
+        .join(sheets.dropped_rows(), "source_file", "left")
+        .select(
+            "source_file", "outcome", "records", new.alias("inserted"),
+            F.when(loaded, F.col("records") - new).otherwise(0).alias("skipped"),
+            F.coalesce("untimed_rows", F.lit(0)).cast("bigint").alias("untimed_rows"),
+            F.coalesce("repeated_rows", F.lit(0)).cast("bigint").alias("repeated_rows"),
+        )
     )
 
 
@@ -286,11 +296,22 @@ def reload_archive(tables: MeterTables, path: str) -> int:
 
 def write_daily_records(
     spark: SparkSession, directory: str, path: str, name_glob: str = files.CSV_GLOB
-) -> None:
-    """Daily opening and closing values of all sheets of a directory as CSV."""
+) -> DataFrame:
+    """Daily opening and closing values of all sheets of a directory as CSV.
+
+    Returns the files left out because of their names, with the reason.
+    """
     daily.write_daily_csv(
         daily.daily_open_close(files.delimited_sheet_rows(spark, directory, name_glob)), path
     )
+    return daily.unusable_files(files.list_files(spark, directory, name_glob))
+
+
+def look_up(
+    tables: MeterTables, given_flat_id: str, start: str, end: str, utility_type: str | None = None
+) -> DataFrame:
+    """A flat's stored readings from start to end (dates, both included)."""
+    return summaries.flat_readings(tables.readings, given_flat_id, start, end, utility_type)
 
 
 def table_stats(tables: MeterTables) -> DataFrame:

@@ -67,6 +67,35 @@ def test_bad_cell_rejects_its_file_only(tables):
     }
 
 
+def test_dropped_rows_are_counted(tables):
+    rows = [["12-01-2025 00:00", 1], ["12-01-2025 00:00", 2], ["soon", 3], [None, 4], ["12-01-2025 00:15", 5]]
+    files = {GAS: grid(["G001"], rows)}
+    run(tables, {WATER: grid(["G001"], rows[:1])}, {WATER: "h0"})
+    outcome = jobs.ingest_sheets(
+        tables, sheet(tables.spark, files), hashes(tables.spark, files={GAS: "h1"})
+    )
+    assert values(outcome, "records", "inserted", "skipped", "untimed_rows", "repeated_rows") == [
+        (2, 2, 0, 1, 1)
+    ]
+    other = {"T C Gas Readings.xls": grid(["G001"], rows[-1:])}
+    outcome = jobs.ingest_sheets(
+        tables, sheet(tables.spark, other), hashes(tables.spark, files={"T C Gas Readings.xls": "h2"})
+    )
+    assert values(outcome, "inserted", "skipped") == [(0, 1)]
+    found = jobs.look_up(tables, "AurumG001", "2025-01-12", "2025-01-12", "Gas")
+    assert [r.reading_value for r in found.collect()] == [1.0, 5.0]
+
+
+def test_daily_job_names_the_files_it_leaves_out(spark, tmp_path):
+    for name in ("T A Gas readings.csv", "T A Steam readings.csv", "T I Gas readings.csv"):
+        (tmp_path / name).write_text("x\n,101\nx\n12-01-2025 00:00,1\n")
+    left_out = jobs.write_daily_records(spark, str(tmp_path), f"{tmp_path}/out")
+    assert values(left_out, "source_file", "reject_reason") == [
+        ("T A Steam readings.csv", "unknown utility"), ("T I Gas readings.csv", "unknown tower")
+    ]
+    assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 1
+
+
 def test_copy_is_skipped_only_after_a_logged_file(tables):
     """Name order decides; a file that fails does not stop its copy."""
     first, copy = "T A Gas readings.xls", "T B Gas readings.xls"

@@ -150,6 +150,10 @@ def drop_repeat_timestamps_sliced(spark, sf_dir):
     return kept.select("source_file", "row_idx", "recorded_at")
 
 
+def dropped_rows(spark, sf_dir):
+    return _sheets(spark, sf_dir).dropped_rows()
+
+
 def coerce_readings(spark, sf_dir):
     return _sheets(spark, sf_dir).contents()
 
@@ -369,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "parse_reading_time": parse_reading_time,
     "drop_repeat_timestamps": drop_repeat_timestamps,
     "drop_repeat_timestamps_sliced": drop_repeat_timestamps_sliced,
+    "dropped_rows": dropped_rows,
     "coerce_readings": coerce_readings,
     "insert_if_absent": insert_if_absent,
     "ingestion_log_append": ingestion_log_append,
