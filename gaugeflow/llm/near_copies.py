@@ -1,10 +1,9 @@
-"""Near copies by word shingles: SimHash tiles for a given similarity of the shingle sets.
+"""Near copies by word shingles: texts whose sets of five-word shingles agree to 0.8 (Jaccard).
 
-The fingerprints of `simhash` tell copies that differ in a few bits of 64. Texts whose sets of
-five-word shingles have a similarity (Jaccard) of 0.8 differ in ten of 64 bits, give or take
-three, so here a fingerprint has 512 bits and the radius follows from the similarity: the
-angle of two such sets, plus one and a half deviations so that few pairs at the edge are lost.
-Sets whose sizes alone rule the similarity out are never linked.
+Candidates come from SimHash tiles. Texts whose sets have a similarity of 0.8 differ in ten of 64
+bits, give or take three, so here a fingerprint has 512 bits, and the radius is the share of bits in
+which such sets of their size differ at most, plus four deviations. Sets whose sizes alone rule
+the similarity out are never compared.
 
 Texts meet in buckets of the least of their shingles under eight hash functions; two sets of
 similarity 0.8 share none of the eight with a probability of 0.000003. A bucket beyond
@@ -12,7 +11,14 @@ similarity 0.8 share none of the eight with a probability of 0.000003. A bucket
 are shared with a probability of 0.999). Within a bucket, tiles are compared with exclusive-or
 and bit counts; tiles whose bit counts are further apart than the radius are skipped, and so
 are texts that are in one class already, so that a large group of near copies takes few
-comparisons. A bucket hands on a forest of links; the classes are joined up over all buckets.
+comparisons. A bucket hands on a forest of links; the groups are joined up over all buckets.
+
+Links are decided by the shingle sets themselves, which are made again for the members of groups
+only. A group is dealt into blocks of bounded rows and shingles; each block compares its members
+within the radius, and those of one class already not at all. Some members of a group of several
+blocks are copied to all of them, so that most of a group of true near copies is one class after
+that; members outside their group's largest class are then compared with all blocks. Every
+candidate that is not linked through others has thus been checked.
 
 Cases: null texts and texts without words are one class; a text of fewer words than a shingle
 is one shingle; copies, also in other case or spacing, are one set in all comparisons; a null
@@ -22,6 +28,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -32,7 +39,8 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm.components import components
 from gaugeflow.llm.simhash import SMALL_BUCKET, TILE, _forest
-from gaugeflow.llm.words import WINDOW_BASES, Texts, Words, map_slices, mix, windows
+from gaugeflow.llm.substrings import BitFilter
+from gaugeflow.llm.words import WINDOW_BASES, Texts, Words, map_slices, mix, slices, windows
 from gaugeflow.sources.workspace import new_folder
 
 LANES = 8  # of 64 bits; also the number of least shingles
@@ -41,11 +49,45 @@ SET, CODE, LEAST = ["n0", "n1"], [f"c{i}" for i in range(LANES)], [f"k{i}" for i
 RUN = 255  # shingles whose bits are added up in bytes
 
 
-def radius_of(similarity: float) -> int:
-    """Bits in which the fingerprints of two sets of this similarity differ at most."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+DEVIATIONS = 4
+SIZES = 128  # larger sets differ in the same share of bits
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 4 << 20
+HUBS = 64  # members of a group that are in each of its blocks
+
+
+def _chances(n: int) -> np.ndarray:
+    """Of 0 to n ones among n bits."""
+    return np.array([math.comb(n, k) for k in range(n + 1)], float) / 2.0**n
+
+
+def _share_of_bits(a: int, b: int, common: int) -> float:
+    """In which the fingerprints of two sets of these sizes differ."""
+    def ones(n: int) -> np.ndarray:
+        least = n // 2 + 1 - np.arange(common + 1)  # beyond those of the common shingles
+        tail = np.append(np.cumsum(_chances(n - common)[::-1])[::-1], 0.0)
+        return tail[np.clip(least, 0, n - common + 1)]
+
+    left, right = ones(a), ones(b)
+    return float((_chances(common) * (left * (1 - right) + right * (1 - left))).sum())
+
+
+@functools.cache
+def radius_of(similarity: float) -> np.ndarray:
+    """Bits in which the fingerprints of two sets of this similarity differ at most, by the size
+    of the smaller one (the last entry holds from there on)."""
+    share = np.zeros(SIZES)
+    for a in range(1, SIZES):
+        for b in range(a, int(a / similarity) + 1):
+            least = math.ceil(similarity * (a + b) / (1 + similarity) - 1e-9)
+            share[a] = max([share[a], *(_share_of_bits(a, b, c) for c in range(least, min(least + 2, a + 1)))])
+    share[-1] = share[-16:].max()
     bits = 64 * LANES
-    return int(bits * share + 1.5 * math.sqrt(bits * share * (1 - share)))
+    return (bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share))).astype(np.int64)
+
+
+def _limit(radius: int | np.ndarray, a: np.ndarray, b: np.ndarray) -> int | np.ndarray:
+    """The radius for sets of these sizes."""
+    return radius if np.ndim(radius) == 0 else radius[np.minimum(np.minimum(a, b), len(radius) - 1)]
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +149,7 @@ def sketches(documents: DataFrame, shingle: int = 5, doc_id: str = "doc_id", tex
     return map_slices(rows, "text", work, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{c} long" for c in names))
 
 
-def _small_buckets(keys, codes, size, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+def _small_buckets(keys, codes, size, radius: int | np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Linked positions: each row against those behind it in its bucket."""
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for step in range(1, len(keys)):
@@ -116,33 +158,40 @@ def _small_buckets(keys, codes, size, radius: int, share: float) -> tuple[np.nda
             break
         a, b = size[same], size[same + step]
         same = same[np.minimum(a, b) >= share * np.maximum(a, b)]
-        same = same[np.bitwise_count(codes[same] ^ codes[same + step]).sum(1, dtype=np.int64) <= radius]
+        limit = _limit(radius, size[same], size[same + step])
+        same = same[np.bitwise_count(codes[same] ^ codes[same + step]).sum(1, dtype=np.int64) <= limit]
         left.append(same)
         right.append(same + step)
     return np.concatenate(left), np.concatenate(right)
 
 
-def _large_bucket(codes: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[list[int], list[int]]:
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which each fingerprint of a differs from each of b."""
+    out = np.zeros((len(a), len(b)), np.int16)
+    for lane in range(LANES):
+        out += np.bitwise_count(a[:, lane][:, None] ^ b[:, lane][None])
+    return out
+
+
+def _large_bucket(codes: np.ndarray, size: np.ndarray, radius: int | np.ndarray, share: float) -> tuple[list[int], list[int]]:
     """A forest of links within one bucket; each tile meets the rows behind it that are not in
     its class yet, and every row is in one tile."""
     n = len(codes)
-    weight = np.bitwise_count(codes).sum(1, dtype=np.int64)
+    weight, widest = np.bitwise_count(codes).sum(1, dtype=np.int64), np.max(radius)
     root, left, right = np.arange(n), [], []
     pending = np.argsort(weight, kind="stable")
     while len(pending):
         tile, pending = pending[:TILE], pending[TILE:]
         one_class = bool((root[tile] == root[tile[0]]).all())
         others = pending[root[pending] != root[tile[0]]] if one_class else pending
-        low, high = weight[tile].min() - radius, weight[tile].max() + radius
+        low, high = weight[tile].min() - widest, weight[tile].max() + widest
         others = others[(weight[others] >= low) & (weight[others] <= high)]
         blocks = [others[i : i + 8 * TILE] for i in range(0, len(others), 8 * TILE)]
         found = [np.zeros((0, 2), np.int64)]
         for block in blocks if one_class else [tile, *blocks]:
-            distance = np.zeros((len(tile), len(block)), np.int16)
-            for lane in range(LANES):
-                distance += np.bitwise_count(codes[tile, lane][:, None] ^ codes[block, lane][None])
+            distance = _distance(codes[tile], codes[block])
             a, b = size[tile][:, None], size[block][None]
-            near = np.nonzero((distance <= radius) & (np.minimum(a, b) >= share * np.maximum(a, b)))
+            near = np.nonzero((distance <= _limit(radius, a, b)) & (np.minimum(a, b) >= share * np.maximum(a, b)))
             pairs = np.stack([root[tile[near[0]]], root[block[near[1]]]], 1)
             found.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
         pairs = np.concatenate(found)
@@ -170,7 +219,7 @@ def _merged(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray
         up = after
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int, share: float) -> Iterator[pa.RecordBatch]:
+def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int | np.ndarray, share: float) -> Iterator[pa.RecordBatch]:
     def links(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         keys, size, codes = rows[:, 0], rows[:, 3], rows[:, 4:].view(np.uint64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
@@ -207,7 +256,7 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int, share: float)
 
 
 def links(sets: DataFrame, similarity: float = 0.8, bucket_rows: int = 4096) -> DataFrame:
-    """u, v: links between the names of distinct sets (columns as in `sketches`)."""
+    """u, v: candidates that connect the names of distinct sets (columns as in `sketches`)."""
     each = [F.struct(F.xxhash64(F.lit(i), F.col(k)).alias("key"), F.lit(i).alias("last")) for i, k in enumerate(LEAST)]
     rows = sets.select("*", F.inline(F.array(*each)))
     ready = None
@@ -237,9 +286,167 @@ def links(sets: DataFrame, similarity: float = 0.8, bucket_rows: int = 4096) ->
         F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")).alias("v"))
 
 
+def _agree(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, share: float) -> np.ndarray:
+    """Which pairs of sorted sets have the similarity; left in ascending order."""
+    out = np.zeros(len(left), bool)
+    cuts = np.append(np.flatnonzero(np.diff(left, prepend=-1)), len(left))
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        own, others = sets[left[i]], [sets[k] for k in right[i:j]]
+        size = np.array([len(x) for x in others])
+        values = np.concatenate(others)
+        held = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+        common = np.add.reduceat(held, np.cumsum(size) - size, dtype=np.int64)
+        out[i:j] = common >= share * (len(own) + size - common)
+    return out
+
+
+def _block(codes, sets: list[np.ndarray], root, guest, radius: int | np.ndarray, share: float) -> list[np.ndarray]:
+    """A forest of the exact links between the classes `root` (each named by one of its rows),
+    among all rows, or between guests and the others if there are guests."""
+    size = np.array([len(x) for x in sets])
+    own = np.flatnonzero(guest) if guest.any() else np.arange(len(sets))
+    hosts = np.flatnonzero(~guest)
+    found = [np.zeros((0, 2), np.int64)]
+    for i in range(0, len(own), TILE):
+        tile, others = own[i : i + TILE], hosts if guest.any() else own[i:]
+        distance = _distance(codes[tile], codes[others])
+        a, b = size[tile][:, None], size[others][None]
+        near = (distance <= _limit(radius, a, b)) & (np.minimum(a, b) >= share * np.maximum(a, b))
+        left, right = np.nonzero(near & (root[tile][:, None] != root[others][None]))
+        order = np.lexsort((distance[left, right], left))
+        left, right = left[order], others[right[order]]
+        rank = np.arange(len(left)) - np.searchsorted(left, left)
+        left, step = tile[left], 1
+        while len(left):  # the nearest first, since they save others
+            now = rank < step
+            ok = np.flatnonzero(now)[_agree(sets, left[now], right[now], share)]
+            joined = np.array(_forest(root[left[ok]], root[right[ok]]), np.int64).reshape(2, -1)
+            if joined.size:
+                found.append(joined.T)
+                root = _merged(root, *joined)
+            later = ~now & (root[left] != root[right])
+            left, right, rank, step = left[later], right[later], rank[later], 2 * step
+    return list(np.concatenate(found).T)
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], radius: int | np.ndarray, share: float) -> Iterator[pa.RecordBatch]:
+    """Links of each block; the columns are key, class, guest, name, fingerprint and shingles."""
+    def links(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        def numbers(name: str) -> np.ndarray:
+            return block.column(name).to_numpy()
+
+        _, first, place = np.unique(numbers("class"), return_index=True, return_inverse=True)
+        if len(first) == 1:
+            return
+        codes = np.stack([numbers(c) for c in CODE], 1).view(np.uint64)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for part in block.column("shingles").chunks for x in part]
+        u, v = _block(codes, sets, first[place], numbers("guest"), radius, share)
+        if len(u):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers(c)[x]) for x in (u, v) for c in SET], ["u0", "u1", "v0", "v1"])
+
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column("key").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if kept and kept[-1].column("key")[0].as_py() != keys[i]:
+                yield from links(pa.Table.from_batches(kept))
+                kept = []
+            kept.append(batch.slice(i, j - i))
+    if kept:
+        yield from links(pa.Table.from_batches(kept))
+
+
+def _named_sets(documents: DataFrame, shingle: int, text: str, wanted: DataFrame) -> DataFrame:
+    """n0, n1 and the sorted shingles of the texts whose set's name is wanted, once for each task,
+    and a few others."""
+    held = documents.sparkSession.sparkContext.broadcast(BitFilter(wanted, "n0", 24))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                value, owner = shingle_sets(part.column(0), shingle)
+                if not len(value):
+                    continue
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                names = np.stack([np.add.reduceat(value, first), np.add.reduceat(mix(value), first)], 1)
+                out = []
+                for i in np.flatnonzero(held.value.may_hold(names[:, 0])):
+                    if (name := tuple(names[i].tolist())) not in seen:
+                        seen.add(name)
+                        out.append(i)
+                ends = np.append(first[1:], len(value))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in names[out].T),
+                     pa.array([value[first[i] : ends[i]].tobytes() for i in out], pa.binary())], [*SET, "shingles"])
+
+    rows = documents.select(F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "n0 long, n1 long, shingles binary").dropDuplicates(SET)
+
+
+def exact_links(
+    documents: DataFrame, sets: DataFrame, groups: DataFrame, shingle: int, similarity: float, text: str,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """u, v: links that connect all sets of the similarity within the groups (node, root)."""
+    spark = documents.sparkSession
+    names = groups.select(
+        F.col("node.a").alias("n0"), F.col("node.b").alias("n1"), F.xxhash64("root").alias("group"))
+    folder = new_folder(spark, "members")
+    sets.join(names, SET).select("group", *SET, "size", *CODE).join(
+        _named_sets(documents, shingle, text, names), SET).write.parquet(folder)
+    members = spark.read.parquet(folder)
+    blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    large = members.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).select(
+        "group", "n", blocks.alias("blocks")).filter("blocks > 1").checkpoint()
+    in_group = F.xxhash64(F.lit("hub"), *SET)
+    own = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).when(
+        F.pmod(in_group, "n") < HUBS, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64(*SET), "blocks").cast("int")))
+    radius = radius_of(similarity)
+
+    def linked(rows: DataFrame) -> DataFrame:
+        dealt = rows.select("key", "class", "guest", *SET, *CODE, "shingles").repartition("key").sortWithinPartitions("key")
+        found = dealt.mapInArrow(
+            lambda batches: _block_links(batches, radius, similarity), "u0 long, u1 long, v0 long, v1 long")
+        return found.select(
+            F.struct(F.col("u0").alias("a"), F.col("u1").alias("b")).alias("u"),
+            F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")).alias("v"))
+
+    first = members.join(F.broadcast(large), "group", "left").withColumn("block", F.explode(own)).select(
+        "*", F.xxhash64("group", "block").alias("key"), F.xxhash64(*SET).alias("class"), F.lit(False).alias("guest"))
+    links = linked(first).checkpoint()
+    if large.isEmpty():
+        return links
+    classes = components(links).select(
+        F.col("node.a").alias("n0"), F.col("node.b").alias("n1"), F.xxhash64("root.a", "root.b").alias("root"))
+    rest = members.join(F.broadcast(large), "group").join(classes, SET, "left").withColumn(
+        "class", F.coalesce("root", F.xxhash64(*SET)))
+    largest = rest.groupBy("group", "class").count().groupBy("group").agg(
+        F.max_by("class", F.struct("count", "class")).alias("largest"), F.sum("count").alias("n_all"),
+        F.max("count").alias("n_largest"))
+    chunks = largest.filter("n_all > n_largest").select(
+        "group", "largest", F.ceil((F.col("n_all") - F.col("n_largest")) / block_rows).cast("int").alias("chunks")).checkpoint()
+    if chunks.isEmpty():
+        return links
+    rest = rest.join(F.broadcast(chunks), "group")
+    hosts = rest.withColumn("guest", F.lit(False)).withColumn(
+        "block", F.pmod(F.xxhash64(*SET), "blocks").cast("int")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    guests = rest.filter("class != largest").withColumn("guest", F.lit(True)).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
+        "chunk", F.pmod(F.xxhash64(F.lit("chunk"), *SET), "chunks").cast("int"))
+    across = hosts.unionByName(guests).withColumn("key", F.xxhash64("group", "block", "chunk"))
+    return links.unionByName(linked(across))
+
+
 def near_copies(
     documents: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text",
-    bucket_rows: int = 4096,
+    bucket_rows: int = 4096, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """doc_id and component_id (the smallest doc_id reachable) of every document."""
     spark = documents.sparkSession
@@ -251,7 +458,8 @@ def near_copies(
         F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ["size", *CODE, *LEAST])).write.parquet(stored)
     sets = spark.read.parquet(stored)
     name = F.struct(F.col("n0").alias("a"), F.col("n1").alias("b"))
-    found = components(links(sets.drop("least_id"), similarity, bucket_rows))
+    groups = components(links(sets.drop("least_id"), similarity, bucket_rows))
+    found = components(exact_links(documents, sets, groups, shingle, similarity, text, block_rows))
     reached = found.join(sets.select(name.alias("node"), "least_id"), "node")
     least = reached.groupBy("root").agg(F.min("least_id").alias("component_id"))
     moved = reached.join(least, "root").select(F.col("node.a").alias("n0"), F.col("node.b").alias("n1"), "component_id")

@@ -278,6 +278,31 @@ def test_large_bucket_links_all_near_fingerprints():
     assert (wanted[left] == wanted[right]).all()
 
 
+def of_similarity(seed: int, similarity: float, n: int = 400) -> tuple[str, str]:
+    """Two texts of n shingles each that share a passage and have the similarity, or just about."""
+    common = round(2 * n * similarity / (1 + similarity))
+    shared = [f"s{seed}x{i}" for i in range(common + 4)]
+    return tuple(" ".join(shared + [f"{side}{seed}x{i}" for i in range(n - common)]) for side in "ab")
+
+
+@pytest.mark.parametrize("block_rows", [near_copies.BLOCK_ROWS, 8])
+def test_near_copies_at_the_edge(spark, block_rows):
+    """Links are those of the sets, whatever their fingerprints say; groups do not chain below."""
+    texts = [t for k, s in enumerate([0.70, 0.75, 0.79, 0.80, 0.82] * 30) for t in of_similarity(k, s)]
+    r = random.Random(12)
+    template = prose(60, 400).split()
+    for i in range(40):  # of one template, about 0.75 each, and some real copies of them
+        words = list(template)
+        for at in r.sample(range(0, 400, 5), 12):
+            words[at] = f"own{i}x{at}"
+        texts += [" ".join(words), " ".join([*words, "end"])][: 1 + i % 2]
+    texts += [" ".join(prose(70 + i, 9).split()[:8] + [x]) for i in range(20) for x in ("a", "b")]  # short: 4/6
+    texts += [" ".join(prose(170 + i, 13).split()[:13 - x]) for i in range(20) for x in (0, 1)]  # 8/9
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: x.component_id for x in near_copies.near_copies(frame, block_rows=block_rows).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_classes(texts)
+
+
 # WARC
 
 def test_archives(spark):
