@@ -13,21 +13,21 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import decontamination, language_id, near_copies, packing, substrings
 from gaugeflow.llm.queries import BENCHMARK_WINDOW, WINDOW, table, tokenizer_path
+from gaugeflow.llm.words import text_key
 from gaugeflow.sources.workspace import new_folder
 
 LEAST_LANGUAGE_SCORE = 0.5
 CONTAMINATED_SHARE = 20  # one hit word in so many
 
 
-def _id_once(documents: DataFrame) -> DataFrame:
-    """One row of each repeated doc_id; only looks at the ids unless some are repeated."""
-    repeated = documents.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return documents
-    same = F.col("doc_id").eqNullSafe(F.col("gaugeflow_repeated_id"))
-    ids = repeated.withColumnRenamed("doc_id", "gaugeflow_repeated_id")
-    return documents.join(ids, same, "left_anti").unionByName(
-        documents.join(ids, same, "left_semi").dropDuplicates(["doc_id"]))
+KEY = "gaugeflow_key"
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    """With a column that names a row by its doc_id and text; ids may be null or repeated. A null id
+    is the largest."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *text_key(F.col("text").cast("string")))
+    return documents.withColumn(KEY, key)
 
 
 def keep_identified(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,17 +40,26 @@ def keep_identified(spark: SparkSession, documents: DataFrame, sf_dir: str) -> D
 
 def drop_near_duplicates(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group whose five-word shingles agree to 0.8."""
-    once = _id_once(documents)
-    groups = near_copies.near_copies(once)
-    kept = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("gaugeflow_kept_id"))
-    return once.join(kept, F.col("doc_id").eqNullSafe(F.col("gaugeflow_kept_id")), "left_semi")
+    keyed = _keyed(documents)
+    folder = new_folder(spark, "kept")
+    near_copies.near_copies(keyed, doc_id=KEY).filter("doc_id = component_id").select(
+        F.col("doc_id").alias("gaugeflow_kept")).write.parquet(folder)
+    kept = spark.read.parquet(folder).groupBy("gaugeflow_kept").count()
+    found = keyed.join(kept, F.col(KEY) == F.col("gaugeflow_kept"), "left_semi")
+    repeated = kept.filter("count > 1")
+    if repeated.isEmpty():
+        return found.drop(KEY)
+    same = F.col(KEY) == F.col("gaugeflow_kept")
+    return found.join(repeated, same, "left_anti").unionByName(
+        found.join(repeated, same, "left_semi").dropDuplicates([KEY])).drop(KEY)
 
 
 def cut_repeats(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that repeat; one that has no word left goes."""
-    found = substrings.remove_repeats(documents, WINDOW).filter("n_removed > 0").select(
-        F.col("doc_id").alias("gaugeflow_cut_id"), F.col("kept").alias("gaugeflow_kept"))
-    joined = documents.join(found, F.col("doc_id").eqNullSafe(F.col("gaugeflow_cut_id")), "left")
+    keyed = _keyed(documents)
+    found = substrings.remove_repeats(keyed, WINDOW, doc_id=KEY).filter("n_removed > 0").select(
+        F.col("doc_id").alias("gaugeflow_cut"), F.col("kept").alias("gaugeflow_kept")).dropDuplicates(["gaugeflow_cut"])
+    joined = keyed.join(found, F.col(KEY) == F.col("gaugeflow_cut"), "left")
     text = F.coalesce("gaugeflow_kept", "text")
     changed = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in documents.columns else {})
     return joined.withColumns(changed).filter("gaugeflow_kept is null or gaugeflow_kept != ''").select(*documents.columns)
@@ -58,12 +67,14 @@ def cut_repeats(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold less than a twentieth of benchmark words."""
-    overlaps = decontamination.find_overlaps(documents, table(spark, sf_dir, "benchmark"), BENCHMARK_WINDOW)
+    keyed = _keyed(documents)
+    overlaps = decontamination.find_overlaps(
+        keyed, table(spark, sf_dir, "benchmark"), BENCHMARK_WINDOW, doc_id=KEY)
     folder = new_folder(spark, "contaminated")
     overlaps.filter((F.col("n_hit") > 0) & (CONTAMINATED_SHARE * F.col("n_hit") >= F.col("n_words"))).select(
-        F.col("doc_id").alias("gaugeflow_bad_id")).write.parquet(folder)
-    return documents.join(
-        spark.read.parquet(folder), F.col("doc_id").eqNullSafe(F.col("gaugeflow_bad_id")), "left_anti")
+        F.col("doc_id").alias("gaugeflow_bad")).write.parquet(folder)
+    bad = spark.read.parquet(folder)
+    return keyed.join(bad, F.col(KEY) == F.col("gaugeflow_bad"), "left_anti").drop(KEY)
 
 
 def pack(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,30 @@ def test_stages(spark, texts, tmp_path):  # noqa: F811
     assert {i for i, _ in seen[4]} == clean
 
 
+def test_rows_without_or_with_one_id_are_told_apart(spark, tmp_path):
+    """Different texts stay, whatever their ids; what one of them holds says nothing of the others."""
+    items, shared = [(k, " ".join(prose(k, 90).split()[5:40])) for k in (8, 9)], prose(41, 40)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    own = [prose(200 + i, 60) for i in range(6)]
+    rows = [(None, own[0]), (None, own[1]), (None, own[1]), (None, own[2] + " " + shared), (7, own[3]), (7, own[4] + " " + shared),
+            (7, own[3].upper()), (8, own[3]), (None, own[4] + " " + shared), (None, prose(8, 90)), (7, prose(9, 90))]
+    frame = spark.createDataFrame([(i, t, "en", "k", 1, "b", "c", "w") for i, t in rows], SCHEMA)
+    frame.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    for k, (_, stage) in enumerate(pipeline.STAGES[1:4]):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        seen.append(sorted(((r.doc_id, r.text) for r in docs.collect()), key=str))
+    one = [t for i, t in seen[0] if t.lower() == own[3]]  # copies in other case: either row
+    assert len(one) == 1
+    left = [rows[0], rows[1], rows[3], (7, one[0]), rows[5], rows[9], rows[10]]
+    assert seen[0] == sorted(left, key=str)
+    cut = [(i, t.removesuffix(" " + shared)) for i, t in left]
+    assert seen[1] == sorted(cut, key=str)
+    assert seen[2] == sorted(cut[:5], key=str)
+
+
 @needs_tables
 def test_run(spark):
     assert pipeline.run(spark, SMALL).count() > 0
