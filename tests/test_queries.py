@@ -41,6 +41,11 @@ def test_query(spark, con, name):
     assert compare(result, con, name).startswith("ok")
 
 
+def test_flats_of_presence_patterns_are_read_from_all_months(spark):
+    assert "1996-01" in plan(QUERIES["presence_pattern_flats"](spark, SMALL))
+    assert "1996-01" not in plan(QUERIES["presence_pattern_flats_all_months"](spark, SMALL))
+
+
 def exchanges(text: str) -> list[str]:
     return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
 

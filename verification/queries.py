@@ -438,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "zero_profiles_all_months": _on_summary(coverage.zero_profiles),
     "zero_profile_patterns_all_months": _on_summary(coverage.zero_profile_patterns),
     "coverage_summary_all_months": _on_summary(coverage.coverage_summary),
+    "presence_pattern_flats_all_months": _on_summary(coverage.flat_utilities),
     # recorded findings, ingestion checks
     "discrepancy_report": discrepancy_report,
     "discrepancy_counts": discrepancy_counts,
