@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    chat_format, decontamination, html_extraction, language_id, language_model, packing, quality_rules, simhash,
-    substrings, warc,
+    chat_format, decontamination, html_extraction, language_id, language_model, lexical_search, packing, quality_rules,
+    secret_scan, simhash, substrings, warc, whitening,
 )
 from gaugeflow.llm.shipping import ship_package
 from gaugeflow.llm.words import remainder
@@ -86,6 +87,31 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def _marks(spans: Column) -> Column:
+    """kind:start:end of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base]
+    return found.select(
+        "doc_id", *counts, F.sha2(_marks(of(*base)), 256).alias("base_sha256"), _marks(F.col("spans")).alias("spans"))
+
+
+def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_ids,
     "op2_quality_rules": quality,
@@ -97,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat_messages,
     "op9_html_extraction": main_texts,
     "op10_decontamination": contamination,
+    "op11_whitening": whitened,
+    "op12_secret_scan": secrets,
+    "op13_lexical_search": searched,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -177,10 +206,61 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = least THEN 'r
 FROM d
 """
 
+
+def _spans_sql() -> str:
+    """Spans of every rule: matches in order, each behind the texts that lie between matches."""
+    parts = []
+    for place, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        if rule.any_case:  # letters of the keys in either case, but no other letters that fold to them
+            keys, rest = pattern.split(")", 1)
+            pattern = re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", keys) + ")" + rest
+        parts.append(f"""
+SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, first, first + length(m[i]) AS stop
+FROM (SELECT doc_id, m, g, i, list_sum(list_transform(between[:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS first
+      FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
+                   string_split_regex(t, '{pattern}') AS between FROM d), unnest(range(1, len(m) + 1)) AS u(i))
+WHERE length(g[i]) >= {rule.least}""")
+    return "\nUNION ALL".join(parts)
+
+
+_BASE_KINDS = len(secret_scan.BASE_RULES)
+_MARK = "kind || ':' || CAST(first AS BIGINT) || ':' || CAST(stop AS BIGINT)"
+_SECRETS = rf"""
+WITH d AS (SELECT row_number() OVER () AS doc_id, doc_id AS given, coalesce(text, '') AS t FROM documents),
+s AS ({_spans_sql()}),
+j AS (SELECT doc_id, string_agg({_MARK}, ',' ORDER BY first, place) AS spans,
+        string_agg({_MARK}, ',' ORDER BY first, place) FILTER (place < {_BASE_KINDS}) AS base,
+        count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex FROM s GROUP BY doc_id)
+SELECT given AS doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN j USING (doc_id)
+"""
+
+_SEARCH_TERMS = rf"regexp_extract_all(lower_ascii, '{lexical_search.TERM}')"
+_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SEARCH_TERMS} AS ws FROM (SELECT doc_id, {_LOWER} FROM documents)),
+b AS (SELECT row_number() OVER () AS q, item_id, {_SEARCH_TERMS} AS ws FROM (SELECT item_id, {_LOWER} FROM benchmark)),
+c AS (SELECT count(*) AS n_docs, sum(len(ws)) AS n_terms FROM d WHERE len(ws) > 0),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, c GROUP BY term),
+i AS (SELECT DISTINCT q, item_id, unnest(ws) AS term FROM b),
+m AS (SELECT r, doc_id, 100 - 50 + CAST((50 * len(ws) * n_docs) // n_terms AS BIGINT) AS m FROM d, c WHERE len(ws) > 0),
+s AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= {lexical_search.BEST}
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _QUALITY,
     "op5_warc": _ARCHIVED,
     "op7_substring_dedup": _SUBSTRINGS,
     "op8_chat_format": _CHAT,
     "op10_decontamination": _CONTAMINATION,
+    "op12_secret_scan": _SECRETS,
+    "op13_lexical_search": _SEARCH,
 }
