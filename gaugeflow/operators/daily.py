@@ -46,11 +46,12 @@ def daily_open_close(sheet_rows: DataFrame, policy: SlicePolicy = DEFAULT_POLICY
 
 
 def unusable_files(files: DataFrame) -> DataFrame:
-    """Files (source_file) that give no daily records because of their name, and why."""
+    """Files (source_file, maybe damage) that give no daily records, and why."""
+    damage = F.col("damage") if "damage" in files.columns else F.lit(None).cast("string")
     return (
         parse_filenames(files)
+        .select("source_file", F.coalesce("reject_reason", damage).alias("reject_reason"))
         .filter(F.col("reject_reason").isNotNull())
-        .select("source_file", "reject_reason")
     )
 
 

@@ -26,7 +26,8 @@ def discover_files(paths: DataFrame) -> DataFrame:
 def file_outcomes(files: DataFrame, contents: DataFrame, log: DataFrame) -> DataFrame:
     """Outcome of every file of a run, as if the files were taken one by one in name order.
 
-    files: (source_file, file_hash); contents: (source_file, records, has_bad_cell).
+    files: (source_file, file_hash) and, where files were read as text, damage (NULL if none);
+    contents: (source_file, records, has_bad_cell).
     A file is skipped when its content is in the log or when an earlier file of the run
     with the same content gets a log entry. Files that fail, hold no records or whose name
     is already in the log get none, so they do not stop a later copy.
@@ -40,9 +41,11 @@ def file_outcomes(files: DataFrame, contents: DataFrame, log: DataFrame) -> Data
         .join(known_name, "source_file", "left")
         .withColumn("records", F.coalesce("records", F.lit(0).cast("bigint")))
     )
+    damage = F.col("damage") if "damage" in files.columns else F.lit(None).cast("string")
     problem = (
         F.when(F.col("_seen"), SEEN)
         .when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
+        .when(damage.isNotNull(), damage)
         .when(F.col("has_bad_cell"), BAD_CELL)
         .when(F.col("records") == 0, EMPTY)
     )

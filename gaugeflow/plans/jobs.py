@@ -238,8 +238,8 @@ def ingest_sheets(tables: MeterTables, sheet_rows: DataFrame, hashes: DataFrame)
 
 def ingest_directory(tables: MeterTables, directory: str, name_glob: str = files.CSV_GLOB):
     """Load a directory of sheets exported as delimited text."""
-    rows = files.delimited_sheet_rows(tables.spark, directory, name_glob)
-    return ingest_sheets(tables, rows, files.file_hashes(tables.spark, directory, name_glob))
+    read = files.delimited_files(tables.spark, directory, name_glob)
+    return ingest_sheets(tables, files.sheet_rows(read), read.files)
 
 
 def summarize(tables: MeterTables, year_month: str) -> DataFrame:
@@ -299,12 +299,11 @@ def write_daily_records(
 ) -> DataFrame:
     """Daily opening and closing values of all sheets of a directory as CSV.
 
-    Returns the files left out because of their names, with the reason.
+    Returns the files left out because of their names or damage, with the reason.
     """
-    daily.write_daily_csv(
-        daily.daily_open_close(files.delimited_sheet_rows(spark, directory, name_glob)), path
-    )
-    return daily.unusable_files(files.list_files(spark, directory, name_glob))
+    read = files.delimited_files(spark, directory, name_glob)
+    daily.write_daily_csv(daily.daily_open_close(files.sheet_rows(read)), path)
+    return daily.unusable_files(read.files)
 
 
 def look_up(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.cells import present
+from gaugeflow.sources.records import DelimitedFiles
 
 # '{,x}' also finds xlsx; sheets exported as delimited text keep their name under csv.
 SHEET_GLOB = "T * * [rR]eadings.xls{,x}"
@@ -23,62 +24,42 @@ def list_files(spark: SparkSession, directory: str, name_glob: str = SHEET_GLOB)
     return files.select("path", F.substring_index("path", "/", -1).alias("source_file"))
 
 
-def file_hashes(spark: SparkSession, directory: str, name_glob: str = SHEET_GLOB) -> DataFrame:
-    """MD5 of the bytes of every sheet file."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(directory)
-    return files.select(
-        F.substring_index("path", "/", -1).alias("source_file"),
-        F.md5("content").alias("file_hash"),
+def _lines(spark: SparkSession, directory: str, name_glob: str) -> DataFrame:
+    """Lines by line feed as bytes, with the split they stand in; a file of any size has many splits."""
+    text = spark.read.option("pathGlobFilter", name_glob).option("lineSep", "\n").text(directory)
+    return text.select(
+        _decoded(F.col("_metadata.file_name")).alias("source_file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.col("value").cast("binary").alias("line"),
     )
 
 
-def _cells(line: Column, delimiter: str) -> Column:
-    """Cells of a line; a delimiter between quotes is part of its cell.
+def _scanned(
+    spark: SparkSession, directory: str, name_glob: str, delimiter: str | None
+) -> DelimitedFiles:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(directory)
+    listed = files.select(F.substring_index("path", "/", -1).alias("source_file"), F.col("length").alias("size"))
+    return DelimitedFiles(_lines(spark, directory, name_glob), listed, delimiter)
 
-    Only lines with pairs of quotes take the longer pattern.
-    """
-    plain = f"\\Q{delimiter}\\E"
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    outside = plain + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    return F.when((quotes > 0) & (quotes % 2 == 0), F.split(line, outside, -1)).otherwise(
-        F.split(line, plain, -1)
-    )
+
+def file_hashes(spark: SparkSession, directory: str, name_glob: str = SHEET_GLOB) -> DataFrame:
+    """Content hash of every sheet file, whatever its format; files are read in splits."""
+    return _scanned(spark, directory, name_glob, None).files.select("source_file", "file_hash")
+
+
+def delimited_files(
+    spark: SparkSession, directory: str, name_glob: str = CSV_GLOB, delimiter: str = ","
+) -> DelimitedFiles:
+    """Sheets exported as delimited text, read once for rows, hashes and verdicts."""
+    return _scanned(spark, directory, name_glob, delimiter)
 
 
 def delimited_sheet_rows(
     spark: SparkSession, directory: str, name_glob: str = CSV_GLOB, delimiter: str = ","
 ) -> DataFrame:
-    """Sheets exported as delimited text, as (source_file, row_idx, cells).
-
-    Files are read line by line in splits, so one large file is spread over many tasks. The
-    row number is the line's place in its split plus the lines of the splits before, of
-    which there is one row each. Cells with the delimiter stand in quotes; none has a line break.
-    """
-    lines = (
-        spark.read.option("pathGlobFilter", name_glob)
-        .text(directory)
-        .select(
-            _decoded(F.col("_metadata.file_name")).alias("source_file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("id"),
-            "value",
-        )
-    )
-    before = (
-        Window.partitionBy("source_file")
-        .orderBy("split")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    splits = (
-        lines.groupBy("source_file", "split")
-        .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    )
-    row_idx = (F.col("offset") + F.col("id") - F.col("first_id")).cast("int")
-    unquoted = F.transform(
-        _cells(F.col("value"), delimiter),
-        lambda c: present(F.replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))),
-    )
-    return lines.join(splits, ["source_file", "split"]).select(
-        "source_file", row_idx.alias("row_idx"), unquoted.alias("cells")
-    )
+    """(source_file, row_idx, cells) of the sheets that can be read; cells that mean 'missing' are NULL."""
+    return sheet_rows(delimited_files(spark, directory, name_glob, delimiter))
+
+
+def sheet_rows(read: DelimitedFiles) -> DataFrame:
+    return read.rows().withColumn("cells", F.transform("cells", present))
