@@ -25,7 +25,7 @@ from verification.queries import JANUARY, QUARTER, QUERIES
 
 HEADLINE = [
     "backward_readings", "zero_consumption_granular", "gap_detection", "spike_detection",
-    "stale_runs", "null_readings", "out_of_order", "monthly_summary", "negative_consumption",
+    "stale_runs", "null_readings", "monthly_summary", "negative_consumption",
     "zero_consumption_summary", "late_opening", "early_closing", "continuity_breaks",
     "outlier_consumption", "cross_utility_mismatch", "missing_months", "incomplete_coverage",
     "zero_profiles", "presence_pattern_flats", "file_completeness", "row_count_anomalies",
@@ -43,7 +43,7 @@ def stored_checks(spark, sf_dir: str) -> dict:
 
     events = stored("bench_events", bind.event_readings(spark, sf_dir))
     shipments = stored("bench_shipments", bind.shipment_readings(spark, sf_dir))
-    shipments.upsert_summary(monthly_summary(shipments.readings), None)
+    shipments.upsert_summary(monthly_summary(shipments.readings))
     month = events.readings.filter(JANUARY.of_month(F.col("year_month")))
     summary = shipments.monthly_summary
     january = Period("1996-01", "1996-01")
@@ -54,7 +54,6 @@ def stored_checks(spark, sf_dir: str) -> dict:
         "spike_detection": lambda: granular.spike_detection(granular.Readings(month)),
         "stale_runs": lambda: granular.stale_runs(granular.Readings(shipments.readings)),
         "null_readings": lambda: granular.null_readings(month),
-        "out_of_order": lambda: granular.out_of_order(month),
         "monthly_summary": lambda: monthly_summary(shipments.readings),
         "negative_consumption": lambda: summary_checks.negative_consumption(summary),
         "zero_consumption_summary": lambda: summary_checks.zero_consumption(summary),

@@ -28,7 +28,7 @@ class Readings:
     """Readings in scope; the lagged rows are declared once and shared by three checks.
 
     `measured` may name a cheaper superset of the rows to take meter sizes from, where the
-    readings are themselves the result of a shuffle.
+    readings are themselves the result of a shuffle; `days` their day states, if they are stored.
     """
 
     def __init__(
@@ -36,9 +36,11 @@ class Readings:
         scoped: DataFrame,
         policy: SlicePolicy = DEFAULT_POLICY,
         measured: DataFrame | None = None,
+        days: DataFrame | None = None,
     ):
         self.scoped = scoped
         self.policy = policy
+        self.sizes = None if days is None else days.groupBy(*METER_WINDOW).agg(F.sum("n").alias("_n"))
         self.measured = scoped if measured is None else measured
 
     @cached_property
@@ -53,16 +55,43 @@ class Readings:
             {"prev_value": "reading_value", "prev_time": "recorded_at"},
             self.policy,
             self.measured,
+            self.sizes,
         )
 
 
+def day_states(scoped: DataFrame) -> DataFrame:
+    """What statistics, zero consumption, gaps and missing values need to know of a meter's day.
+
+    All parts can be merged over days; a day of 96 readings becomes one row.
+    """
+    value, time = F.col("reading_value"), F.col("recorded_at")
+    missing = F.when(value.isNull(), time)
+    return scoped.groupBy(*METER, F.to_date("recorded_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"),
+        F.count(value).alias("n_values"), F.min(value).alias("low"), F.max(value).alias("high"),
+        F.min(missing).alias("first_null"), F.max(missing).alias("last_null"),
+    )
+
+
+def _month_of_day() -> Column:
+    return F.trunc("day", "month").alias("month")
+
+
 def scan_stats(scoped: DataFrame) -> DataFrame:
     """One row of scope statistics; distinct counts run on the pre-grouped meter months."""
-    per_month = scoped.groupBy(*METER, _month_start()).agg(
+    return _stats(scoped.groupBy(*METER, _month_start()).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("recorded_at").alias("lo"),
         F.max("recorded_at").alias("hi"),
-    )
+    ))
+
+
+def scan_stats_of_days(days: DataFrame) -> DataFrame:
+    return _stats(days.groupBy(*METER, _month_of_day()).agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+
+
+def _stats(per_month: DataFrame) -> DataFrame:
     return per_month.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_records"),
         F.countDistinct("given_flat_id").alias("distinct_flats"),
@@ -97,6 +126,16 @@ def zero_consumption(scoped: DataFrame) -> DataFrame:
     )
 
 
+def zero_consumption_of_days(days: DataFrame) -> DataFrame:
+    return (
+        days.filter(F.col("n_values") > 0)
+        .groupBy(*METER, _month_of_day())
+        .agg(F.min("low").alias("min_val"), F.max("high").alias("max_val"), F.sum("n_values").alias("num_readings"))
+        .filter((F.col("min_val") == F.col("max_val")) & (F.col("num_readings") > 1))
+        .withColumn("month", month_of(F.col("month")))
+    )
+
+
 def gap_detection(scoped: DataFrame) -> DataFrame:
     """Meter days with fewer than 80% of the day's median count.
 
@@ -107,6 +146,14 @@ def gap_detection(scoped: DataFrame) -> DataFrame:
     per_day = scoped.groupBy(*METER, F.to_date("recorded_at").alias("reading_date")).agg(
         F.count(F.lit(1)).alias("readings_per_day")
     )
+    return _gaps(per_day)
+
+
+def gap_detection_of_days(days: DataFrame) -> DataFrame:
+    return _gaps(days.select(*METER, F.col("day").alias("reading_date"), F.col("n").alias("readings_per_day")))
+
+
+def _gaps(per_day: DataFrame) -> DataFrame:
     medians = per_day.groupBy("reading_date").agg(
         F.median("readings_per_day").alias("median_count")
     )
@@ -245,6 +292,19 @@ def null_readings(scoped: DataFrame) -> DataFrame:
     )
 
 
+def null_readings_of_days(days: DataFrame) -> DataFrame:
+    return (
+        days.filter(F.col("n") > F.col("n_values"))
+        .groupBy(*METER)
+        .agg(
+            F.sum(F.col("n") - F.col("n_values")).alias("null_count"),
+            F.size(F.collect_set(_month_of_day())).cast("bigint").alias("months_affected"),
+            F.min("first_null").alias("first_null"),
+            F.max("last_null").alias("last_null"),
+        )
+    )
+
+
 def out_of_order(scoped: DataFrame) -> DataFrame:
     """Readings earlier than their predecessor in the same file and meter.
 

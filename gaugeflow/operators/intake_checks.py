@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import round_half_away
+from gaugeflow.sources.workspace import stored
 
 EXPECTED_FILES_PER_DAY = 14
 
@@ -44,10 +45,11 @@ def file_completeness(scoped: DataFrame, expected: int = EXPECTED_FILES_PER_DAY)
 def row_count_anomalies(scoped: DataFrame) -> DataFrame:
     """Files with fewer than half the median number of rows.
 
-    Grouping by file and flat first makes the distinct flats a plain count. The median
-    keeps distinct row counts with their frequency, fewer than sqrt(2 x rows of the month).
+    Grouping by file and flat first makes the distinct flats a plain count. The rows per file
+    are stored, so that their median costs no second pass over the readings; it keeps distinct
+    row counts with their frequency, fewer than sqrt(2 x rows of the month).
     """
-    per_file = (
+    per_file = stored(
         scoped.groupBy("source_file", "given_flat_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -60,7 +62,8 @@ def row_count_anomalies(scoped: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("num_flats"),
             F.min("lo").alias("first_reading"),
             F.max("hi").alias("last_reading"),
-        )
+        ),
+        "file-rows",
     )
     n, median = F.col("row_count"), F.col("median_rows")
     return (

@@ -17,6 +17,7 @@ from gaugeflow.operators.slices import DEFAULT_POLICY, SlicedRows, SlicePolicy,
 from gaugeflow.schemas import READING_COLUMNS
 
 HEADER_ROW, FIRST_DATA_ROW = 1, 3
+SHEET_POSITION = ["source_file", "row_idx", "col_idx"]
 
 
 def rows_from_cells(cells: DataFrame) -> DataFrame:
@@ -94,22 +95,38 @@ def sheet_columns(sheet_rows: DataFrame, strip_tower_letter: bool = True) -> Dat
     )
 
 
-def timed_rows(sheet_rows: DataFrame, parse=cell.parse_reading_time) -> DataFrame:
+TIME_CELL = "time_cell"
+
+
+def with_time_cell(sheet_rows: DataFrame) -> DataFrame:
+    """With the first cell as a column of its own, which is stored apart from the wide rows."""
+    return sheet_rows.withColumn(TIME_CELL, cell.present(F.get("cells", F.lit(0))))
+
+
+def _time_cell(sheet_rows: DataFrame) -> Column:
+    return F.col(TIME_CELL) if TIME_CELL in sheet_rows.columns else cell.present(F.get("cells", F.lit(0)))
+
+
+def timed_rows(sheet_rows: DataFrame, parse=cell.parse_reading_time, with_cells: bool = True) -> DataFrame:
     """Data rows whose first cell is a time."""
     return (
         sheet_rows.filter(F.col("row_idx") >= FIRST_DATA_ROW)
-        .withColumn("recorded_at", parse(cell.present(F.get("cells", F.lit(0)))))
+        .withColumn("recorded_at", parse(_time_cell(sheet_rows)))
         .filter(F.col("recorded_at").isNotNull())
-        .select("source_file", "row_idx", "recorded_at", "cells")
+        .select("source_file", "row_idx", "recorded_at", *(["cells"] if with_cells else []))
     )
 
 
 def drop_repeated_times(
-    sheet_rows: DataFrame, parse=cell.parse_reading_time, policy: SlicePolicy = DEFAULT_POLICY
+    sheet_rows: DataFrame, parse=cell.parse_reading_time, policy: SlicePolicy = DEFAULT_POLICY,
+    with_cells: bool = True,
 ) -> SlicedRows:
-    """Timed rows without those that repeat the time of the row before them in the file."""
+    """Timed rows without those that repeat the time of the row before them in the file.
+
+    Without cells only row numbers and times are shuffled.
+    """
     lagged = lag_in_slices(
-        timed_rows(sheet_rows, parse),
+        timed_rows(sheet_rows, parse, with_cells),
         ["source_file"],
         "row_idx",
         {"prev_time": "recorded_at"},
@@ -135,6 +152,12 @@ class Sheets:
     def columns(self) -> DataFrame:
         return sheet_columns(self.sheet_rows)
 
+    def cells(self) -> DataFrame:
+        """Long cells of all files with usable names, still as text; stored, they serve all that follows."""
+        return self.kept.join(self.columns).select(
+            "utility_type", "tower_name", "recorded_at", "source_file", "row_idx", F.inline(flat_cells(cell="cells"))
+        )
+
     def contents(self) -> DataFrame:
         """Per file with usable name: number of records and whether a cell is no number."""
         bad = F.exists(
@@ -151,10 +174,11 @@ class Sheets:
 
     def dropped_rows(self) -> DataFrame:
         """Per file: data rows whose first cell is no time, and rows that repeat a time."""
-        first = cell.present(F.get("cells", F.lit(0)))
+        first = _time_cell(self.sheet_rows)
         data = self.sheet_rows.filter((F.col("row_idx") >= FIRST_DATA_ROW) & first.isNotNull())
         timed = F.count(cell.parse_reading_time(first))
-        kept = self.kept.rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
+        narrow = drop_repeated_times(self.sheet_rows, policy=self.policy, with_cells=False)
+        kept = narrow.rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
         return (
             data.groupBy("source_file")
             .agg((F.count(F.lit(1)) - timed).alias("untimed_rows"), timed.alias("timed"))
@@ -167,18 +191,22 @@ class Sheets:
 
     def records(self, files: DataFrame | None = None) -> DataFrame:
         """Long readings with their sheet position, of the given files (source_file) or all."""
-        columns = self.columns
+        cells = self.cells()
         if files is not None:
-            columns = columns.join(files.select("source_file"), "source_file", "left_semi")
-        return (
-            self.kept.join(columns)
-            .select(
-                "utility_type", "tower_name", "recorded_at", "source_file", "row_idx",
-                F.inline(flat_cells(cell="cells")),
-            )
-            .withColumn("reading_value", cell.reading_value(cell.present(F.col("cell"))))
-            .select(*READING_COLUMNS, "row_idx", "col_idx")
-        )
+            cells = cells.join(files.select("source_file"), "source_file", "left_semi")
+        return records_of(cells)
+
+
+def contents_of(cells: DataFrame) -> DataFrame:
+    """Per file: number of records and whether a cell is no number."""
+    bad = cell.is_bad_number(cell.present(F.col("cell")))
+    return cells.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"), F.max(bad).alias("has_bad_cell"))
+
+
+def records_of(cells: DataFrame) -> DataFrame:
+    """Long cells as readings with their sheet position."""
+    value = cell.reading_value(cell.present(F.col("cell")))
+    return cells.withColumn("reading_value", value).select(*READING_COLUMNS, "row_idx", "col_idx")
 
 
 def flat_cells(**rows: str) -> Column:

@@ -95,10 +95,14 @@ def _slice_of(bucket: Column) -> Column:
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], order: str, policy: SlicePolicy
+    df: DataFrame, keys: list[str], order: str, policy: SlicePolicy, sizes: DataFrame | None = None
 ) -> DataFrame | None:
-    """The keys to slice as (keys, _starts), or None. Runs one job, a second one if there are any."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """The keys to slice as (keys, _starts), or None. Runs one job, a second one if there are any.
+
+    `sizes` (keys, _n) may be given where they are known; then df is read for large keys only.
+    """
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     share = F.ceil(sizes.agg(F.sum("_n").alias("total")).scalar() / MAX_SLICES)
     target = F.greatest(F.lit(policy.min_rows).cast("bigint"), share)
     sized = sizes.withColumn("_target", target).filter(F.col("_n") > F.col("_target")).drop("_n")
@@ -128,6 +132,7 @@ def lag_in_slices(
     previous: dict[str, str],
     policy: SlicePolicy = DEFAULT_POLICY,
     measured: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> SlicedRows:
     """Add the previous row's values per key: `previous` maps new column -> source column.
 
@@ -135,7 +140,7 @@ def lag_in_slices(
     result means "no previous row". Key sizes are taken from `measured` where counting df
     itself would be costly; it must hold all rows of df. The rows are shuffled once.
     """
-    hot = hot_keys(df if measured is None else measured, keys, order, policy)
+    hot = hot_keys(df if measured is None else measured, keys, order, policy, sizes)
 
     def with_lag(rows: DataFrame, cluster: list[str]) -> DataFrame:
         before = Window.partitionBy(*cluster).orderBy(order)

@@ -6,6 +6,7 @@ Checks return DataFrames (declared, not run). Jobs that write return small facts
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ from gaugeflow.operators import (
     coverage, daily, findings, granular, intake, intake_checks, offenders, summary_checks,
 )
 from gaugeflow.operators import summary as summaries
-from gaugeflow.operators.merge import first_per_key
-from gaugeflow.operators.sheets import Sheets
-from gaugeflow.schemas import READING_COLUMNS, READING_KEY
+from gaugeflow.operators.merge import insert_if_absent
+from gaugeflow.operators.sheets import SHEET_POSITION, Sheets, contents_of, records_of, with_time_cell
+from gaugeflow.schemas import READING_KEY
 from gaugeflow.sources import archive, files
+from gaugeflow.sources.snapshots import expire_folders
 from gaugeflow.sources.tables import MeterTables
-from gaugeflow.sources.workspace import new_folder
+from gaugeflow.sources.workspace import stored
 
 # -- checks ----------------------------------------------------------------------------
 
@@ -89,17 +91,29 @@ def _month_text(time: str) -> Column:
 
 
 def detect_discrepancies(readings: DataFrame, period: str | Period) -> Scan:
-    """All checks on the readings of a period; repeat offenders if it has several months."""
+    """All checks on the readings of a period; repeat offenders if it has several months.
+
+    The readings are read twice, whatever is asked of the scan: once for the states of meter days,
+    once, in time order, for the checks that compare neighbours. Both are stored in the shared
+    folder, the states at one row per meter and day and the findings of the other checks as they
+    are; statistics, report, offenders and listings take them from there.
+    """
     scope = as_period(period)
     scoped = readings_in(readings, scope)
-    shared = granular.Readings(scoped)
-    checks = {
+    days = stored(granular.day_states(scoped), "days")
+    shared = granular.Readings(scoped, days=days)
+    ordered = _stored_together({
         "backward_readings": granular.backward_readings(shared),
-        "zero_consumption": granular.zero_consumption(scoped),
-        "gap_detection": granular.gap_detection(scoped),
         "spike_detection": granular.spike_detection(shared),
         "stale_runs": granular.stale_runs(shared),
-        "null_readings": granular.null_readings(scoped),
+    })
+    checks = {
+        "backward_readings": ordered["backward_readings"],
+        "zero_consumption": granular.zero_consumption_of_days(days),
+        "gap_detection": granular.gap_detection_of_days(days),
+        "spike_detection": ordered["spike_detection"],
+        "stale_runs": ordered["stale_runs"],
+        "null_readings": granular.null_readings_of_days(days),
         "out_of_order": granular.out_of_order(scoped),
     }
     repeats = None
@@ -110,7 +124,17 @@ def detect_discrepancies(readings: DataFrame, period: str | Period) -> Scan:
         }
         per_check["null_readings"] = offenders.repeat_null_readings(checks["null_readings"])
         repeats = offenders.labelled_union(per_check)
-    return Scan(granular.scan_stats(scoped), checks, offenders.scan_report(checks), repeats)
+    return Scan(granular.scan_stats_of_days(days), checks, offenders.scan_report(checks), repeats)
+
+
+def _stored_together(checks: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Checks on the same rows, evaluated by one job so that they share scan and shuffle."""
+    found = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [rows.select(F.lit(name).alias("check_name"), F.struct("*").alias(name)) for name, rows in checks.items()],
+    )
+    kept = stored(found, "findings", "check_name")
+    return {name: kept.filter(F.col("check_name") == name).select(f"{name}.*") for name in checks}
 
 
 def summary_scan(summary: DataFrame, period: str | Period | None = None) -> Scan:
@@ -199,28 +223,28 @@ def detect_ingestion_issues(
 def ingest_sheets(tables: MeterTables, sheet_rows: DataFrame, hashes: DataFrame) -> DataFrame:
     """Load the sheets of a run: rows, log entries, and the outcome of every file.
 
-    The numbered rows are written to the shared folder once and read back by every later
-    step; so is the parsed batch. Only the months of the batch are compared with the stored
-    readings. The outcome tells how many rows had no time or repeated one, and how many records
-    were there already (`skipped`).
+    The numbered rows are written to the shared folder once, their time cells as a column of
+    their own; the long cells, which verdicts and records come from, once more. Only stored
+    readings of the batch's months and hours are compared with it. If another run stores readings
+    meanwhile, the comparison is made again. The outcome tells how many rows had no time or
+    repeated one, and how many records were there already (`skipped`).
     """
-    folder = new_folder(tables.spark, "sheets")
-    sheet_rows.select("source_file", "row_idx", "cells").write.parquet(folder)
-    sheets = Sheets(tables.spark.read.parquet(folder))
-    outcomes = intake.file_outcomes(hashes, sheets.contents(), tables.ingestion_log).checkpoint()
-    records = sheets.records(intake.ingested_files(outcomes))
-    batch = (
-        first_per_key(records, READING_KEY, ["source_file", "row_idx", "col_idx"])
-        .select(*READING_COLUMNS, month_of(F.col("recorded_at")).alias("year_month"))
-        .checkpoint()
-    )
-    months = [row.year_month for row in batch.select("year_month").distinct().collect()]
-    stored = tables.readings.filter(F.col("year_month").isin(months)).select(*READING_KEY)
-    fresh = batch.join(stored, READING_KEY, "left_anti")
-    inserted = (
-        fresh.groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted")).checkpoint()
-    )
-    tables.append_readings(fresh.select(*READING_COLUMNS))
+    rows = with_time_cell(sheet_rows.select("source_file", "row_idx", "cells"))
+    sheets = Sheets(stored(rows, "sheets"))
+    cells = stored(sheets.cells(), "cells")
+    outcomes = intake.file_outcomes(hashes, contents_of(cells), tables.ingestion_log).checkpoint()
+    taken = intake.ingested_files(outcomes).select("source_file")
+    records = records_of(cells.join(taken, "source_file", "left_semi"))
+    month = month_of(F.col("recorded_at")).alias("month")
+    spans = records.groupBy(month).agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).collect()
+
+    def fresh(existing: DataFrame) -> DataFrame:
+        near = [F.col("recorded_at").between(F.lit(span.lo), F.lit(span.hi)) for span in spans]
+        known = existing.filter(reduce(Column.__or__, near, F.lit(False)))
+        return insert_if_absent(known, records, READING_KEY, SHEET_POSITION)
+
+    written = tables.insert_readings(fresh, [span.month for span in spans])
+    inserted = written.groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
     tables.append_log(intake.log_entries(outcomes, inserted))
     new = F.coalesce("inserted", F.lit(0)).cast("bigint")
     loaded = F.col("outcome").isin(intake.INGESTED, intake.LOG_CONFLICT)
@@ -256,12 +280,15 @@ class NotSummarized(ValueError):
 def archive_month(tables: MeterTables, year_month: str, archive_dir: str) -> str | None:
     """Write a month's readings to Parquet, verify it, then purge the month.
 
-    Returns the path, or None if the month has no readings.
+    All steps work on one snapshot, and only its folders are purged: readings that come in
+    meanwhile stay stored. Returns the path, or None if the month has no readings.
     """
     month = single_month(year_month)
-    if tables.monthly_summary.filter(F.col("year_month") == month.start).isEmpty():
+    if tables.table("monthly_summary").read(months=[month.start]).isEmpty():
         raise NotSummarized(f"No monthly summary for {month.start}; compute it first")
-    scoped = readings_in(tables.readings, month)
+    table = tables.table("readings")
+    snapshot = table.snapshot()
+    scoped = table.read(snapshot, [month.start])
     expected = scoped.count()
     if expected == 0:
         return None
@@ -270,11 +297,9 @@ def archive_month(tables: MeterTables, year_month: str, archive_dir: str) -> str
     written = archive.read_archive(tables.spark, path)
     if (count := written.count()) != expected:
         raise RuntimeError(f"{path} has {count} rows instead of {expected}; nothing purged")
-    # the month is read again: rows that came in meanwhile are not in the archive
-    stored = readings_in(tables.readings, month)
-    if not stored.join(written, READING_KEY, "left_anti").isEmpty():
+    if not scoped.join(written, READING_KEY, "left_anti").isEmpty():
         raise RuntimeError(f"{month.start} has readings that {path} lacks; nothing purged")
-    tables.drop_readings_of(month)
+    table.remove(month.start, snapshot)
     return path
 
 
@@ -287,11 +312,13 @@ def reload_archive(tables: MeterTables, path: str) -> int:
         .distinct()
         .collect()
     ]
-    stored = tables.readings.filter(F.col("year_month").isin(months))
-    if not archive.conflicting_keys(stored, archived).isEmpty():
-        raise ValueError(f"{path} holds readings that are already stored")
-    tables.append_readings(archived)
-    return archived.count()
+
+    def checked(existing: DataFrame) -> DataFrame:
+        if not archive.conflicting_keys(existing, archived).isEmpty():
+            raise ValueError(f"{path} holds readings that are already stored")
+        return archived
+
+    return tables.insert_readings(checked, months).count()
 
 
 def write_daily_records(
@@ -306,6 +333,16 @@ def write_daily_records(
     return daily.unusable_files(read.files)
 
 
+def maintain(tables: MeterTables, keep: int = 10, older_than_hours: float = 24.0) -> dict[str, int]:
+    """Compact months of many folders, remove old snapshots and intermediate folders nobody needs.
+
+    Gives the number of folders removed, per table and of the shared folder.
+    """
+    tables.compact()
+    removed = tables.expire(keep, older_than_hours)
+    return {**removed, "intermediate": expire_folders(tables.spark, older_than_hours)}
+
+
 def look_up(
     tables: MeterTables, given_flat_id: str, start: str, end: str, utility_type: str | None = None
 ) -> DataFrame:

@@ -22,11 +22,11 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.sources.shipping import ship_package
-from gaugeflow.sources.workspace import new_folder
+from gaugeflow.sources.workspace import stored
 
 PRIME = 2**127 - 1
 BASE = 0x5BD1E995_9E3779B9_85EBCA6B_C2B2AE35 % PRIME
@@ -279,13 +279,12 @@ class DelimitedFiles:
 
     def __init__(self, lines: DataFrame, listed: DataFrame, delimiter: str | None):
         self.delimiter = delimiter
-        spark = lines.sparkSession
-        ship_package(spark)
+        ship_package(lines.sparkSession)
         scan = _scan(None if delimiter is None else delimiter.encode())
-        self.staged = _stored(spark, lines.mapInArrow(scan, STAGED), "lines")
+        self.staged = stored(lines.mapInArrow(scan, STAGED), "lines")
         facts = self.staged.filter(F.col("kind") == FACTS).select("source_file", "split", "facts")
         folded = listed.join(facts, "source_file", "left").groupBy("source_file").applyInArrow(_fold, _FOLDED)
-        self.folded = _stored(spark, folded, "splits")
+        self.folded = stored(folded, "splits")
 
     @property
     def files(self) -> DataFrame:
@@ -313,9 +312,3 @@ class DelimitedFiles:
         mark = self.delimiter if self.delimiter.isalnum() or len(self.delimiter) > 1 else "\\" + self.delimiter
         pattern = mark if len(self.delimiter) == 1 else f"\\Q{mark}\\E"
         return F.coalesce(quoted, F.split(F.col("line").cast("string"), pattern, -1))
-
-
-def _stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
-    folder = new_folder(spark, purpose)
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)

@@ -1,128 +1,119 @@
-"""The four tables as partitioned Parquet tables of the session catalog."""
+"""The four tables: readings, monthly summary, recorded findings and the ingestion log."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas
-from gaugeflow.functions.period import Period, month_of, summary_in
+from gaugeflow.functions.period import Period, month_of
 from gaugeflow.operators.merge import keyed_upsert
-
-_PARQUET = "USING parquet OPTIONS (compression 'zstd')"
+from gaugeflow.sources.snapshots import MONTH, Snapshot, SnapshotTable
+from gaugeflow.sources.workspace import new_folder
 
 
 class MeterTables:
-    def __init__(self, spark: SparkSession, database: str = "meters"):
+    """Snapshot tables in the folder of a catalog database, or in `root`."""
+
+    def __init__(self, spark: SparkSession, database: str = "meters", root: str | None = None):
         self.spark = spark
         self.database = database
-
-    def _name(self, table: str) -> str:
-        return f"{self.database}.{table}"
+        self.root = root
 
     def create(self) -> MeterTables:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
-        for table, columns in {
-            "readings": schemas.READINGS_DDL,
-            "monthly_summary": schemas.MONTHLY_SUMMARY_DDL,
-            "monthly_discrepancy": schemas.MONTHLY_DISCREPANCY_DDL,
-        }.items():
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}, year_month STRING) "
-                f"{_PARQUET} PARTITIONED BY (year_month)"
-            )
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._name('ingestion_log')} "
-            f"({schemas.INGESTION_LOG_DDL}) {_PARQUET}"
-        )
+        if self.root is None:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+            self.root = self.spark.catalog.getDatabase(self.database).locationUri
         return self
 
-    def _table(self, table: str) -> DataFrame:
-        return self.spark.table(self._name(table))
+    def table(self, name: str) -> SnapshotTable:
+        columns, sort, by_month = {
+            "readings": (schemas.READINGS_DDL, schemas.READING_KEY, True),
+            "monthly_summary": (schemas.MONTHLY_SUMMARY_DDL, schemas.METER, True),
+            "monthly_discrepancy": (schemas.MONTHLY_DISCREPANCY_DDL, schemas.METER, True),
+            "ingestion_log": (schemas.INGESTION_LOG_DDL, ["source_file"], False),
+        }[name]
+        return SnapshotTable(self.spark, f"{self.root}/{name}", columns, sort, by_month)
+
+    @property
+    def names(self) -> list[str]:
+        return ["readings", "monthly_summary", "monthly_discrepancy", "ingestion_log"]
 
     @property
     def readings(self) -> DataFrame:
-        return self._table("readings")
+        return self.table("readings").read()
 
     @property
     def monthly_summary(self) -> DataFrame:
-        return self._table("monthly_summary")
+        return self.table("monthly_summary").read()
 
     @property
     def monthly_discrepancy(self) -> DataFrame:
-        return self._table("monthly_discrepancy")
+        return self.table("monthly_discrepancy").read()
 
     @property
     def ingestion_log(self) -> DataFrame:
-        return self._table("ingestion_log")
+        return self.table("ingestion_log").read()
+
+    def register_views(self) -> None:
+        """Temporary views of the present snapshots, for SQL."""
+        for name in self.names:
+            self.table(name).read().createOrReplaceTempView(name)
+
+    def append_readings(self, readings: DataFrame) -> None:
+        self.table("readings").append(readings.withColumn(MONTH, month_of(F.col("recorded_at"))))
 
-    def _append(self, rows: DataFrame, table: str, sort: list[str]) -> None:
-        """Rows gathered by month and sorted by key: few files, and tight row-group ranges.
+    def insert_readings(self, choose: Callable[[DataFrame], DataFrame], months: list[str]) -> DataFrame:
+        """Append what `choose` makes of the stored readings of some months; gives the rows appended.
 
-        The rebalance hint gathers a month's rows but splits a month that is too large for
-        one task, which a repartition by month would not.
+        If other readings come in meanwhile, it is asked again.
         """
-        columns = self._table(table).columns
-        (
-            rows.select(*columns)
-            .hint("rebalance", "year_month")
-            .sortWithinPartitions("year_month", *sort)
-            .write.insertInto(self._name(table))
-        )
+        table = self.table("readings")
+        added: dict[str, list[str]] = {}
 
-    def append_readings(self, readings: DataFrame) -> None:
-        rows = readings.withColumn("year_month", month_of(F.col("recorded_at")))
-        self._append(rows, "readings", schemas.READING_KEY)
+        def make(base: Snapshot) -> dict[str, list[str]] | None:
+            rows = choose(table.read(base, months)).withColumn(MONTH, month_of(F.col("recorded_at")))
+            added.clear()
+            added.update(table.write(rows))
+            return base.plus(added) if added else None
+
+        table.change(make)
+        return table.read(Snapshot(0, added))
 
     def append_log(self, entries: DataFrame) -> None:
-        columns = self.ingestion_log.columns
-        entries.select(*columns).write.insertInto(self._name("ingestion_log"))
+        self.table("ingestion_log").append(entries)
 
-    def _upsert(self, table: str, rows: DataFrame, key: list[str], period: Period | None) -> None:
-        """Replace rows by key within the months of the period; other months are not read.
+    def _upsert(self, name: str, rows: DataFrame, key: list[str]) -> None:
+        """Replace rows by key; only the months of the new rows are read and written.
 
-        The merged months are written to a folder of their own; then the table's partitions
-        are pointed to it. The rows that were read stay where they are, so a run that fails
-        on the way leaves every month either as it was or replaced. Earlier versions are kept.
+        The new rows are computed once, whatever happens to the table meanwhile.
         """
-        existing = self._table(table)
-        merged = keyed_upsert(summary_in(existing, period), rows.select(*existing.columns), key)
-        folder = f"{self._location(table)}-versions/{uuid.uuid4().hex}"
-        (
-            merged.hint("rebalance", "year_month")
-            .sortWithinPartitions("year_month", *key)
-            .write.partitionBy("year_month").option("compression", "zstd").parquet(folder)
-        )
-        self._point_to(table, folder)
-
-    def _location(self, table: str) -> str:
-        described = self.spark.sql(f"DESCRIBE FORMATTED {self._name(table)}")
-        return described.filter("col_name = 'Location'").first().data_type.rstrip("/")
-
-    def _point_to(self, table: str, folder: str) -> None:
-        """Switch the months found in the folder; a short list, one entry per month."""
-        months = self.spark.read.schema("year_month string").parquet(folder).distinct().collect()
-        for month in sorted(row.year_month for row in months):
-            partition = f"PARTITION (year_month = '{month}')"
-            place = f"{folder}/year_month={month}"
-            alter = f"ALTER TABLE {self._name(table)}"
-            self.spark.sql(f"{alter} ADD IF NOT EXISTS {partition} LOCATION '{place}'")
-            self.spark.sql(f"{alter} {partition} SET LOCATION '{place}'")
-        self.spark.catalog.refreshTable(self._name(table))
-
-    def upsert_summary(self, summary: DataFrame, period: Period | None) -> None:
+        table = self.table(name)
+        incoming = SnapshotTable(self.spark, new_folder(self.spark, "incoming"), table.columns.removesuffix(
+            f", {MONTH} STRING"), table.sort)
+        incoming.append(rows)
+        months = list(incoming.snapshot().parts)
+
+        def make(base: Snapshot) -> dict[str, list[str]] | None:
+            merged = keyed_upsert(table.read(base, months), incoming.read(), key)
+            return {**base.parts, **table.write(merged)} if months else None
+
+        table.change(make)
+
+    def upsert_summary(self, summary: DataFrame, period: Period | None = None) -> None:
         rows = summary.withColumn("computed_at", F.localtimestamp())
-        self._upsert("monthly_summary", rows, schemas.SUMMARY_KEY, period)
+        self._upsert("monthly_summary", rows, schemas.SUMMARY_KEY)
 
-    def upsert_findings(self, findings: DataFrame, period: Period | None) -> None:
+    def upsert_findings(self, findings: DataFrame, period: Period | None = None) -> None:
         rows = findings.withColumn("detected_at", F.localtimestamp())
-        self._upsert("monthly_discrepancy", rows, schemas.FINDING_KEY, period)
-
-    def drop_readings_of(self, month: Period) -> None:
-        """Purge a month by dropping its partition."""
-        self.spark.sql(
-            f"ALTER TABLE {self._name('readings')} "
-            f"DROP IF EXISTS PARTITION (year_month = '{month.start}')"
-        )
+        self._upsert("monthly_discrepancy", rows, schemas.FINDING_KEY)
+
+    def compact(self, most_folders: int = 8) -> dict[str, list[str]]:
+        """Rewrite crowded months of the tables kept by month."""
+        return {name: self.table(name).compact(most_folders) for name in self.names}
+
+    def expire(self, keep: int = 10, older_than_hours: float = 24.0) -> dict[str, int]:
+        """Remove old snapshots and their folders; gives the folders removed per table."""
+        return {name: self.table(name).expire(keep, older_than_hours) for name in self.names}

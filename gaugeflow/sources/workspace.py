@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+#: Names that new_folder gives.
+WORK_FOLDER = re.compile(r"[a-z-]+-[0-9a-f]{32}")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -24,6 +29,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stored(rows: DataFrame, purpose: str, *partitions: str) -> DataFrame:
+    """Rows written to a new folder and read back: computed once, and of known size."""
+    spark = rows.sparkSession
+    folder = new_folder(spark, purpose)
+    rows.write.partitionBy(*partitions).parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.plans import jobs
+from gaugeflow.sources.snapshots import SnapshotTable
 from tests.helpers import grid, readings, sheet, summary, values
 
 GAS, WATER = "T C Gas readings.xls", "T C Water readings.xls"
@@ -231,7 +232,7 @@ def test_an_upsert_that_fails_before_the_switch_leaves_the_old_rows(tables, monk
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "_point_to", fail)
+        patch.setattr(SnapshotTable, "commit", fail)
         with pytest.raises(OSError):
             jobs.summarize(tables, "2025-01")
     assert values(tables.monthly_summary, "closing_reading") == [(4.0,)]

@@ -60,11 +60,38 @@ def test_lag_checks_shuffle_the_readings_once(spark):
         assert len(exchanges(plan(check(rows)))) == 1
 
 
-def test_checks_on_one_lag_share_its_shuffle(spark):
-    report = QUERIES["granular_scan_report"](spark, SMALL)
-    report.collect()
-    final = plan(report).split("== Initial Plan ==")[0]
-    assert len(re.findall(r"ReusedExchange \[[^\]]*recorded_at", final)) == 2
+@pytest.mark.parametrize("period", ["1996-05", "1995-01:2001-12"])
+def test_a_scan_reads_the_readings_twice(spark, period):
+    """For report, offenders, statistics and all listings together."""
+    from gaugeflow.plans import jobs
+    from gaugeflow.sources.workspace import stored
+
+    readings = stored(bind.shipment_readings(spark, SMALL), "readings")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    scan = jobs.detect_discrepancies(readings.mapInArrow(count, readings.schema), period)
+    scan.stats.collect(), scan.report.collect()
+    for rows in scan.checks.values():
+        rows.collect()
+    if scan.repeat_offenders is not None:
+        scan.repeat_offenders.collect()
+    assert seen.value == 2 * readings.count()
+
+
+def test_daily_values_are_fetched_late(spark):
+    text = plan(QUERIES["daily_open_close"](spark, SMALL))
+    assert "SortAggregate" not in text.split("Scan parquet")[0] and "BroadcastHashJoin" in text
+    assert not any("source_file" in e and "row_idx" in e for e in exchanges(text.split("Generate")[0]))
+
+
+def test_row_counts_take_one_scan(spark):
+    text = plan(QUERIES["row_count_anomalies"](spark, SMALL))
+    assert "ts" not in re.findall(r"ReadSchema: struct<([^>]*)>", text)[0] and "row_count" in text
 
 
 def test_filters_and_columns_reach_the_scan(spark):

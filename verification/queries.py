@@ -16,8 +16,9 @@ from gaugeflow.operators import (
 from gaugeflow.operators import summary as summaries
 from gaugeflow.operators.slices import SlicePolicy
 from gaugeflow.plans import jobs
-from gaugeflow.schemas import FINDING_KEY, READING_COLUMNS, READING_KEY, SUMMARY_KEY
-from gaugeflow.sources import archive
+from gaugeflow.schemas import READING_COLUMNS, READING_KEY
+from gaugeflow.sources import archive, files
+from gaugeflow.sources.tables import MeterTables
 from gaugeflow.sources.workspace import new_folder
 from verification import bindings as bind
 
@@ -166,28 +167,48 @@ def insert_if_absent(spark, sf_dir):
     return fresh.drop("row_idx", "col_idx")
 
 
+def _tables(spark) -> MeterTables:
+    return MeterTables(spark, root=new_folder(spark, "tables"))
+
+
 def _ingested(spark, sf_dir):
-    rows = bind.sheet_rows(spark, sf_dir)
-    parsed = sheets.Sheets(rows)
-    outcomes = _outcomes(rows, parsed)
-    records = parsed.records(intake.ingested_files(outcomes))
-    fresh = merge.insert_if_absent(
-        bind.stored_readings(parsed.records()), records, READING_KEY, FIRST_ROWS
-    )
-    inserted = fresh.groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
-    return outcomes, inserted
+    """The tables after the ingestion job, and what it says of every file."""
+    rows, tables = bind.sheet_rows(spark, sf_dir), _tables(spark)
+    tables.append_readings(bind.stored_readings(sheets.Sheets(rows).records()))
+    files = bind.run_files(rows)
+    earlier = bind.run_log(files)
+    unknown = {"ingested_at": F.lit(None).cast("timestamp_ntz"), "record_count": F.lit(None).cast("int")}
+    tables.append_log(earlier.withColumns(unknown))
+    return tables, jobs.ingest_sheets(tables, rows, files)
 
 
 def ingestion_log_append(spark, sf_dir):
-    return intake.log_entries(*_ingested(spark, sf_dir)).drop("ingested_at")
+    tables, _ = _ingested(spark, sf_dir)
+    return tables.ingestion_log.filter(F.col("ingested_at").isNotNull()).drop("ingested_at")
 
 
 def ingest_directory(spark, sf_dir):
-    outcomes, inserted = _ingested(spark, sf_dir)
-    return outcomes.join(inserted, "source_file", "left").select(
-        "source_file", "outcome", "records",
-        F.coalesce("inserted", F.lit(0)).cast("bigint").alias("inserted"),
-    )
+    return _ingested(spark, sf_dir)[1].select("source_file", "outcome", "records", "inserted")
+
+
+def ingested_readings(spark, sf_dir):
+    """All readings that are stored after the job."""
+    return _ingested(spark, sf_dir)[0].readings.select(*READING_COLUMNS)
+
+
+def quoted_sheet_cells(spark, sf_dir):
+    """Events written as delimited text with quotes, quoted delimiters and line breaks, and read back."""
+    def quoted(cell):
+        return F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    broken = F.concat("event_type", F.lit(',\n"'), "props")
+    cells = [F.col("event_id").cast("string"), quoted(F.col("props")), quoted(broken), F.concat("event_type", F.lit(' 5"'))]
+    folder = new_folder(spark, "quoted")
+    bind.table(spark, sf_dir, "events").select(F.concat_ws(",", *cells)).write.text(folder)
+    read = files.delimited_files(spark, folder, "part-*").rows()
+    names = ["event_id", "props", "broken", "inches"]
+    picked = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return read.select(*picked, F.size("cells").alias("width")).withColumn("event_id", F.col("event_id").cast("bigint"))
 
 
 def daily_open_close(spark, sf_dir):
@@ -234,13 +255,47 @@ def reload_conflicts(spark, sf_dir):
 # -- summary ---------------------------------------------------------------------------
 
 
+def _stored_shipments(spark, sf_dir) -> MeterTables:
+    tables = _tables(spark)
+    tables.append_readings(bind.shipment_readings(spark, sf_dir).withColumns(
+        {"tower_name": F.lit("S"), "flat_id": F.col("given_flat_id")}))
+    return tables
+
+
+def archived_month(spark, sf_dir):
+    """Where the readings are after a month was summarised and archived by the jobs."""
+    tables = _stored_shipments(spark, sf_dir)
+    jobs.summarize(tables, "1996-05")
+    path = jobs.archive_month(tables, "1996-05", new_folder(spark, "archive"))
+    left = tables.readings.select(*READING_COLUMNS, F.lit("stored").alias("place"))
+    return left.unionByName(archive.read_archive(spark, path).withColumn("place", F.lit("archived")))
+
+
+def summarized_month(spark, sf_dir):
+    """A month's stored summary after the job ran twice."""
+    tables = _stored_shipments(spark, sf_dir)
+    jobs.summarize(tables, "1996-05")
+    return jobs.summarize(tables, "1996-05").drop("computed_at")
+
+
+def detected_discrepancies(spark, sf_dir):
+    """The findings that the job records from the stored summary."""
+    tables = _tables(spark)
+    tables.upsert_summary(bind.summary(spark, sf_dir))
+    jobs.detect_summary_discrepancies(tables)
+    return tables.monthly_discrepancy.drop("detected_at")
+
+
 def summary_upsert(spark, sf_dir):
     """Summary of the A and N readings, on which the summary of 1996 is recomputed."""
     readings = bind.shipment_readings(spark, sf_dir)
     stored = summaries.monthly_summary(readings.filter(F.col("utility_type") != "R"))
     doubled = readings.withColumn("reading_value", F.col("reading_value") * 2)
     fresh = summaries.monthly_summary(doubled, YEAR)
-    return merge.keyed_upsert(stored, fresh, SUMMARY_KEY)
+    tables = _tables(spark)
+    tables.upsert_summary(stored)
+    tables.upsert_summary(fresh, YEAR)
+    return tables.monthly_summary.drop("computed_at")
 
 
 def show_monthly_summary(spark, sf_dir):
@@ -326,7 +381,10 @@ def record_discrepancies(spark, sf_dir):
     found = bind.discrepancies(spark, sf_dir)
     stored = found.filter(F.col("year_month") != "1996-03").withColumn("remark", F.lit("old"))
     fresh = findings.summary_findings(bind.summary(spark, sf_dir), parse_period("1996-H1"))
-    return merge.keyed_upsert(stored, fresh, FINDING_KEY)
+    tables = _tables(spark)
+    tables.upsert_findings(stored)
+    tables.upsert_findings(fresh, parse_period("1996-H1"))
+    return tables.monthly_discrepancy.drop("detected_at")
 
 
 def discrepancy_report(spark, sf_dir):
@@ -378,9 +436,12 @@ QUERIES: dict[str, Query] = {
     "insert_if_absent": insert_if_absent,
     "ingestion_log_append": ingestion_log_append,
     "ingest_directory": ingest_directory,
+    "ingested_readings": ingested_readings,
+    "quoted_sheet_cells": quoted_sheet_cells,
     "reload_parquet": reload_parquet,
     "reload_conflicts": reload_conflicts,
     "archive_month": archive_month,
+    "archived_month": archived_month,
     "daily_open_close": daily_open_close,
     "parse_time_24h": parse_time_24h,
     "raw_flat_id": raw_flat_id,
@@ -388,6 +449,7 @@ QUERIES: dict[str, Query] = {
     # summary, look-up, statistics
     "monthly_summary": lambda spark, sf_dir: bind.summary(spark, sf_dir),
     "summary_upsert": summary_upsert,
+    "summarized_month": summarized_month,
     "show_monthly_summary": show_monthly_summary,
     "flat_readings": flat_readings,
     "flat_readings_all_utilities": flat_readings_all_utilities,
@@ -403,7 +465,6 @@ QUERIES: dict[str, Query] = {
     "spike_detection": _lagged_r1(granular.spike_detection),
     "stale_runs": stale_runs,
     "null_readings": _on_r1(granular.null_readings),
-    "out_of_order": _on_r1(granular.out_of_order),
     "repeat_offenders": repeat_offenders,
     "repeat_offenders_with_nulls": repeat_offenders_with_nulls,
     "granular_scan_report": granular_scan_report,
@@ -425,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "missing_months": _on_summary(summary_checks.missing_months, with_gaps=True),
     "summary_repeat_offenders": summary_repeat_offenders,
     "record_discrepancies": record_discrepancies,
+    "detected_discrepancies": detected_discrepancies,
     "summary_scan_report": summary_scan_report,
     # coverage
     "utilities_in_scope": _on_summary(coverage.utilities_in_scope, QUARTER),
