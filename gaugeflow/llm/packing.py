@@ -18,6 +18,7 @@ import functools
 import heapq
 import itertools
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,11 @@ from gaugeflow.llm.words import NOT_SPACE, Texts, Words, slices
 
 # The pre-tokenizer's pattern of the public byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WIDE_BLANKS = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80|\xe2\x81|\xe3\x80")
+# UTF-8 of the white space beyond ASCII, and the token that the vocabulary file adds.
+WIDE_BLANKS = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+ADDED = b"<|endoftext|>"
+LONG_CHUNK = 1 << 14  # bytes; the quick encoder's patterns recurse over long white space
+LONG_TEXT = 1 << 17
 KNOWN_CHUNKS = 300_000
 LONGEST_KNOWN = 64
 
@@ -66,10 +71,12 @@ class Encoder:
     """Token ids of whole texts, by a byte-level vocabulary file of the tokenizers library.
 
     Texts are cut into chunks that are encoded on their own; a bounded number of chunks is
-    remembered by hash. A text with blanks beyond ASCII is encoded whole.
+    remembered by hash. A text with blanks beyond ASCII is encoded whole. Long chunks, long texts
+    with such blanks, and texts that spell out the added token are left to the library itself.
     """
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         letters = byte_letters()
@@ -96,7 +103,7 @@ class Encoder:
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == keys[known]
-        ids = [self.bpe.encode_ordinary(chunks.word(i).decode()) for i in index[~known]]
+        ids = [self._chunk(chunks.word(i)) for i in index[~known]]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         fresh = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         pool = np.concatenate([self.pool, fresh])
@@ -111,12 +118,28 @@ class Encoder:
         out = pool[place]
         bounds = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(starts, texts.bounds)]
         result = [out[bounds[i] : bounds[i + 1]] for i in range(len(column))]
-        if WIDE_BLANKS.search(texts.data):
+        added = ADDED in texts.data.tobytes()
+        if added or WIDE_BLANKS.search(texts.data):
             for i in range(len(column)):
-                if WIDE_BLANKS.search(whole := texts.raw(i)):
+                whole = texts.raw(i)
+                wide = WIDE_BLANKS.search(whole)
+                if ADDED in whole or (wide and len(whole) > LONG_TEXT):
+                    result[i] = np.array(self.library.encode(whole.decode(), add_special_tokens=False).ids, np.uint32)
+                elif wide:
                     result[i] = np.array(self.bpe.encode_ordinary(whole.decode()), np.uint32)
         return result
 
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def _chunk(self, chunk: bytes) -> list[int]:
+        if len(chunk) > LONG_CHUNK:
+            return self.library.encode(chunk.decode(), add_special_tokens=False).ids
+        return self.bpe.encode_ordinary(chunk.decode())
+
     def _remember(self, keys, first, count, pool, new, sizes) -> None:
         new = np.flatnonzero(new & (sizes <= LONGEST_KNOWN))[: KNOWN_CHUNKS - len(self.keys)]
         own = count[new]
@@ -198,9 +221,11 @@ def pack(
     schema = (f"doc_id {ids_type}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long" + ", token_ids array<int>" * with_ids)
     end = np.array([end_id], "<u4").tobytes()
+    documents.sparkSession.sparkContext.addFile(tokenizer_path)
+    file_name = os.path.basename(tokenizer_path)
 
     def run(batches):
-        tokens = encoder(tokenizer_path)
+        tokens = encoder(SparkFiles.get(file_name))
         sequence = TaskContext.get().partitionId() << 40
         group: list[tuple] = []  # id, start, length, total, bytes
         held = 0
