@@ -6,7 +6,7 @@ mean of their log frequencies. The sums over a text, taken as log-likelihoods, g
 language and its probability.
 
 Cases: a null text or one without letters is `und` with score 0; letters of which nothing is
-known give the first language with score 1/n; without labelled rows everything is `und`; ties
+known give the first language with score 1/n; without labelled rows everything is `und` (and the filter keeps all texts with a letter); ties
 go to the first language in text order; every row gets its own result; an empty table gives an
 empty one; further columns are ignored.
 """
@@ -18,14 +18,16 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeflow.llm.words import map_slices
+
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
+FEW_ROWS = 50
 
 
 @dataclass(frozen=True)
@@ -72,26 +74,28 @@ def _log_frequencies(counts: dict[str, np.ndarray], width: int) -> np.ndarray:
 
 def train(
     labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    sample_rows: int = 6000, words_per_model: int = 60_000, max_languages: int = 64,
+    sample_rows: int = 6000, words_per_model: int = 60_000, most_numbers: int = 4_000_000,
 ) -> LanguageModel:
     """Fit on about `sample_rows` labelled rows, drawn by hash and evenly over the languages.
 
-    The model is bounded: the most frequent words of each language, `words_per_model` in all,
-    and the n-grams of these words. A classifier's bounded sample; scoring covers all rows.
+    Every label is learned, from one row at least. The model is bounded: the most frequent words
+    of each language, `words_per_model` in all, or as many as give `most_numbers` frequencies over
+    all languages if that is less (but one word each), and the n-grams of these words. A
+    classifier's bounded sample; scoring covers all rows.
     """
     labelled = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    totals = (
-        labelled.groupBy(F.col(lang).alias("lang")).count()
-        .orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    )
+    totals = labelled.groupBy(F.col(lang).alias("lang")).count().collect()
     languages = sorted(r["lang"] for r in totals)
     if not languages:
         return LanguageModel([], {}, {}, np.zeros((0, 0)))
     share = {r["lang"]: min(1.0, sample_rows / len(totals) / r["count"]) for r in totals}
     wanted = F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(int(v * (1 << 32))))))
-    drawn = F.pmod(F.xxhash64(F.col(key), F.lit("language")), F.lit(1 << 32))
-    sample = labelled.filter(F.col(lang).isin(languages) & (drawn < wanted[F.col(lang)])).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"))
+    place = F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit("language")), F.lit(1 << 32))
+    drawn = labelled.filter(place < wanted[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sample = drawn
+    if len(totals) * FEW_ROWS > sample_rows:  # a label may lose all its rows to the draw: the first stands for it
+        first = labelled.groupBy(F.col(lang).alias("lang")).agg(F.min_by(text, place).alias("text"))
+        sample = drawn.unionByName(first)
 
     def count(batches):
         for batch in batches:
@@ -107,7 +111,7 @@ def train(
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (
         counted.withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= words_per_model // len(languages))
+        .filter(F.col("place") <= max(1, min(words_per_model, most_numbers // len(languages)) // len(languages)))
         .select("lang", "word", "n").collect()
     )
     column = {name: i for i, name in enumerate(languages)}
@@ -145,13 +149,20 @@ def identify(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
-def language_of(model: LanguageModel, spark):
-    """The prediction as a column function of a text, for filters that keep all columns."""
-    shared = spark.sparkContext.broadcast(model)
+def keep_identified(
+    documents: DataFrame, model: LanguageModel, least_score: float, text: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, whose language is clear; without any learned language,
+    those that have a letter."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def clear(body: str | None) -> bool:
+        if not shared.value.languages:
+            return bool(body) and WORD.search(body) is not None
+        language, score = shared.value.predict(body)
+        return language != UNKNOWN and score >= least_score
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        pairs = [shared.value.predict(t if isinstance(t, str) else None) for t in texts]
-        return pd.DataFrame(pairs, columns=["lang_pred", "score"])
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array([clear(t) for t in part.column(text).to_pylist()], pa.bool_()))
 
-    return predict
+    return map_slices(documents, text, work, documents.schema)
