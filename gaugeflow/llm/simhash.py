@@ -3,10 +3,10 @@
 Word shingles are hashed with XXH64 and each fingerprint bit is the majority of theirs. Two
 fingerprints that differ in at most three bits agree on one of four 16-bit blocks, so distinct
 fingerprints are dealt out by block value; a bucket beyond `bucket_rows` is cut again by the
-blocks of the remaining bits. Within a bucket, fingerprints lie in order of their bit counts
-and are compared tile by tile with exclusive-or and bit counts; tile pairs whose bit counts
-are further apart than the radius are skipped. A bucket hands on one link per fingerprint and
-component, and the components are joined up over all buckets.
+blocks of the remaining bits. A task lays its buckets out in order of bit counts and compares them
+tile by tile with exclusive-or and bit counts, small buckets many to a tile; tile pairs whose bit
+counts are further apart than the radius are skipped. A bucket hands on a forest of links, and the
+components are joined up over all buckets.
 
 Cases: null texts and texts without words have fingerprint zero and are linked like any other;
 a text of fewer words than a shingle is one shingle; repeated rows each get a result, copies
@@ -24,14 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.components import components
+from gaugeflow.llm.components import components, join_per_key
 from gaugeflow.llm.words import Texts, Words, map_slices
-from gaugeflow.sources.workspace import new_folder
+from gaugeflow.sources.workspace import new_folder, stored
 
 SEED = 42
 RADIUS = 3
 TILE = 512
-SMALL_BUCKET = 48
 
 
 def fingerprint_column(column: pa.Array, shingle: int) -> np.ndarray:
@@ -75,44 +74,7 @@ def fingerprints(
     return map_slices(rows, "text", work, f"doc_id {dict(rows.dtypes)['doc_id']}, bits long")
 
 
-def _roots(codes: np.ndarray, radius: int) -> np.ndarray:
-    """Least position of each code's component within a bucket; codes in order of bit count."""
-    weight = np.bitwise_count(codes).astype(np.int64)
-    root = np.arange(len(codes))
-    cuts = range(0, len(codes), TILE)
-    while True:
-        before = root.copy()
-        for i in cuts:
-            a = slice(i, i + TILE)
-            for j in range(i, len(codes), TILE):
-                b = slice(j, j + TILE)
-                if weight[b][0] - weight[a][-1] > radius:
-                    break
-                linked = np.bitwise_count(codes[a, None] ^ codes[None, b]) <= radius
-                if linked.any():
-                    root[a] = np.minimum(root[a], np.where(linked, root[b], len(codes)).min(1))
-                    root[b] = np.minimum(root[b], np.where(linked.T, root[a], len(codes)).min(1))
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
-def _pairs(keys: np.ndarray, codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked positions within small buckets: each row against those behind it."""
-    left, right = [], []
-    for step in range(1, len(keys)):
-        same = np.flatnonzero(keys[step:] == keys[:-step])
-        if not len(same):
-            break
-        near = same[np.bitwise_count(codes[same] ^ codes[same + step]) <= radius]
-        left.append(near)
-        right.append(near + step)
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _forest(left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
+def _forest(pairs: np.ndarray) -> np.ndarray:
     """The pairs that join two components so far."""
     parent: dict[int, int] = {}
 
@@ -122,34 +84,61 @@ def _forest(left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
             x = up
         return x
 
-    keep_left, keep_right = [], []
-    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+    kept = []
+    for a, b in pairs.tolist():
         x, y = find(a), find(b)
         if x != y:
-            parent[y] = x
-            keep_left.append(a)
-            keep_right.append(b)
-    return keep_left, keep_right
+            parent[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def _merged(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Roots after classes were linked: the least root of each new class."""
+    up = np.arange(len(root))
+    while True:
+        low = up[pairs].min(1)
+        after = up.copy()
+        np.minimum.at(after, pairs[:, 0], low)
+        np.minimum.at(after, pairs[:, 1], low)
+        after = after[after]
+        if (after == up).all():
+            return up[root]
+        up = after
+
+
+def tile_links(keys: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarray:
+    """Pairs of positions that connect all codes of a bucket within the radius, for whole buckets.
+
+    Rows must lie in order of bucket and bit count. A tile meets itself and the tiles behind it that
+    begin in its last bucket, until their bit counts are beyond the radius.
+    """
+    weight = np.bitwise_count(codes).astype(np.int64)
+    root, found = np.arange(len(codes)), [np.zeros((0, 2), np.int64)]
+    for i in range(0, len(codes), TILE):
+        a = slice(i, min(i + TILE, len(codes)))
+        for j in range(i, len(codes), TILE):
+            b = slice(j, min(j + TILE, len(codes)))
+            if i != j and (keys[b][0] != keys[a][-1] or weight[b][0] - weight[a][-1] > radius):
+                break
+            near = np.bitwise_count(codes[a, None] ^ codes[None, b]) <= radius
+            near &= keys[a, None] == keys[None, b]
+            left, right = np.nonzero(np.triu(near, 1) if i == j else near)
+            pairs = np.stack([root[i + left], root[j + right]], 1)
+            pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+            if len(pairs):
+                found.append(_forest(pairs))
+                root = _merged(root, found[-1])
+    return np.concatenate(found)
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     def links(keys: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cut = np.flatnonzero(np.diff(keys)) + 1
-        first = np.concatenate([[0], cut])
-        size = np.diff(np.append(first, len(keys)))
-        small = np.repeat(size <= SMALL_BUCKET, size)
-        a, b = _forest(*_pairs(keys[small], codes[small], radius))
-        u, v = [codes[small][a]], [codes[small][b]]
-        for at, n in zip(first[size > SMALL_BUCKET], size[size > SMALL_BUCKET], strict=True):
-            own = codes[at : at + n]
-            own = own[np.argsort(np.bitwise_count(own), kind="stable")]
-            root = _roots(own, radius)
-            moved = np.flatnonzero(root != np.arange(n))
-            u.append(own[root[moved]])
-            v.append(own[moved])
-        u, v = np.concatenate(u).view(np.int64), np.concatenate(v).view(np.int64)
+        order = np.lexsort((np.bitwise_count(codes), keys))
+        codes = codes[order]
+        u, v = codes[tile_links(keys[order], codes, radius)].view(np.int64).reshape(-1, 2).T
         if len(u):
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(u.copy()), pa.array(v.copy())], ["u", "v"])
 
     keys, codes = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     for batch in batches:
@@ -228,14 +217,17 @@ def near_duplicates(
     folder = new_folder(spark, "fingerprints")
     fingerprints(documents, shingle, doc_id, text).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    distinct = rows.groupBy(F.col("bits").alias("code")).agg(F.min("doc_id").alias("least_id"))
+    distinct = stored(
+        rows.groupBy(F.col("bits").alias("code")).agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")),
+        "codes")
+    total = rows.count()
     found = components(links(distinct.select("code"), radius, bucket_rows))
     reached = found.join(distinct, found["node"] == distinct["code"]).select("code", "root", "least_id")
-    least = reached.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    moved = reached.join(least, "root").select("code", "component_id")
+    least = reached.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    moved = join_per_key(reached.drop("least_id"), least, "root", total).select("code", "component_id")
     ids = distinct.join(moved, "code", "left").select(
-        "code", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(ids, rows["bits"] == ids["code"]).select("doc_id", "bits", "component_id")
+        F.col("code").alias("bits"), F.coalesce("component_id", "least_id").alias("component_id"), "n")
+    return join_per_key(rows, ids, "bits", total, distinct.withColumnRenamed("code", "bits")).select("doc_id", "bits", "component_id")
 
 
 def hex_digits(bits: str = "bits") -> Column:
