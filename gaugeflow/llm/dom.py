@@ -2,7 +2,7 @@
 
 Inline elements are part of their block; scripts, styles and comments are dropped. An open
 paragraph, list item or table part ends where the next one begins, and a stray end tag is
-passed over.
+passed over. An attribute's quoted value goes on to its closing quote, whatever it holds.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from html import unescape
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|title|textarea|template|noscript|iframe|svg|select)\b[^>]*+>.*?(?:</(?P=raw)\b[^>]*+>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+)>"
     r"|<[!?/][^>]*+>?",
     re.S | re.I,
 )

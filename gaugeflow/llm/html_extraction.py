@@ -187,12 +187,17 @@ def count_page(page: Page, labels: list[int], counts: Counter) -> None:
                 counts["node", labels[node]] += 1
 
 
-def train(pages: DataFrame, html: str = "html", sample_rows: int = 500, mark_weight: int = 4) -> TreeModel:
+def train(
+    pages: DataFrame, html: str = "html", sample_rows: int = 500, mark_weight: int = 4, page_id: str = "page_id",
+    most_features: int = 20_000,
+) -> TreeModel:
     """Count on the marked pages (each `mark_weight` times) and on about `sample_rows` of the
-    given pages, drawn by hash, that name a main part and another part."""
-    rows = pages.select(F.col(html).cast("string").alias("html")).filter(F.col("html").isNotNull())
+    given pages, drawn by hash of id and page, that name a main part and another part. Of their
+    features, the `most_features` most frequent are kept."""
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(html).cast("string").alias("html")).filter(
+        F.col("html").isNotNull())
     share = min(1.0, sample_rows / max(rows.count(), 1))
-    sample = rows.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 32)) < int(share * (1 << 32)))
+    sample = rows.filter(F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 32)) < int(share * (1 << 32))).select("html")
 
     def run(batches):
         counts: Counter = Counter()
@@ -207,10 +212,10 @@ def train(pages: DataFrame, html: str = "html", sample_rows: int = 500, mark_wei
                 {"key": ["\t".join(map(str, k)) for k in counts], "n": list(counts.values())})
 
     counts: Counter = Counter()
-    # label words of the sample may be many: only those on two nodes or more, at most 20,000
+    # label words of the sample may be many: only those on two nodes or more
     found = (
         sample.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        .filter("n > 1").orderBy(F.desc("n"), "key").limit(20_000).collect()
+        .filter("n > 1").orderBy(F.desc("n"), "key").limit(most_features).collect()
     )
     for row in found:
         *name, state = row.key.split("\t")
