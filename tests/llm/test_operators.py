@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    chat_format, decontamination, html_extraction, language_id, language_model, near_copies, packing,
+    chat_format, decontamination, html_extraction, language_id, language_model, packing,
     quality_rules, simhash, substrings, warc,
 )
 from gaugeflow.llm.components import components
@@ -89,6 +89,24 @@ def prose_in(lang: str, seed: int) -> str:
     return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(30))
 
 
+@pytest.mark.parametrize("sample_rows", [6000, 40])
+def test_every_label_is_learned(spark, sample_rows):
+    words = [f"{c}{d}{c}{d}" for c in "abcdefghij" for d in "klmnopqr"]  # a word per language
+    rows = [(80 * k + i, f"{w} common {w}", f"l{i:02}") for i, w in enumerate(words) for k in range(2 + 3 * (i < 5))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(frame, sample_rows=sample_rows)
+    assert model.languages == [f"l{i:02}" for i in range(80)]
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(frame, model).collect()}
+    assert all(found[i] == lang for i, _, lang in rows)
+
+
+def test_rows_with_a_clear_language_keep_their_columns(spark, documents, texts):
+    kept = language_id.keep_identified(documents, language_id.train(documents.withColumn("lang", F.lit(None).cast("string"))), 0.5)
+    assert kept.columns == documents.columns
+    letters = [(i, t) for i, t in texts if any(c.isalpha() for c in t or "")]
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in letters)
+
+
 # quality rules
 
 def test_quality(documents, nothing, texts):
@@ -118,14 +136,24 @@ def test_tokens_equal_the_library(texts):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
     r = random.Random(3)
-    odd = ["".join(r.choice(" \n\tab1.'é ,\xa0　") for _ in range(30)) for _ in range(300)] + ["hi<|endoftext|> x"]
+    odd = ["".join(r.choice(" \n\tab1.'é ,\xa0　") for _ in range(30)) for _ in range(300)]
+    odd += ["hi<|endoftext|> x", "a <|endoftext|> b", "a  <|endoftext|>\n\n<|endoftext|>", "“quoted” – dash…", "a\u2003\u2028 b\u202f"]
+    odd += [c * 20_000 for c in (" ", "\n", "x", "　", "é")] + ["　 " * 70_000 + "x", "word" + " " * 17_000 + "<|endoftext|>"]
     given = [t for _, t in texts] + odd
     ids = packing.Encoder(PATH).encode(pa.array(given, pa.string()))
     assert [x.tolist() for x in ids] == [whole.encode(t or "", add_special_tokens=False).ids for t in given]
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "x", "　"])
+def test_very_long_runs_equal_the_library(run):
+    from tokenizers import Tokenizer
+
+    text = "a" + run * 1_000_000 + "b"
+    ids = packing.Encoder(PATH).encode(pa.array([text], pa.string()))[0]
+    assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
 def test_packing(documents, nothing, texts):
     pieces = packing.pack(documents, PATH).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
@@ -218,89 +246,49 @@ def test_links_join_all_near_codes(spark, bucket_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
-# near copies
-
-def brute_classes(texts: list[str | None], similarity: float = 0.8) -> list[int]:
-    """Classes of texts whose sets of five-word shingles have the similarity."""
-    sets = []
-    for t in texts:
-        words = split("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(sets)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if root[i] != root[j] and (a == b or len(a & b) >= similarity * len(a | b)):
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    return root
-
-
-def test_near_copies(spark, documents, nothing, texts):
-    root = brute_classes([t for _, t in texts])
-    ids = [min((d for (d, _), r in zip(texts, root, strict=True) if r == c and d is not None), default=None) for c in root]
-    found = near_copies.near_copies(documents).collect()
-    assert sorted(map(str, found)) == sorted(f"Row(doc_id={d}, component_id={c})" for (d, _), c in zip(texts, ids, strict=True))
-    assert near_copies.near_copies(nothing).count() == 0
+def brute_classes(texts: list[str | None]) -> list[int]:
+    """Classes of texts whose fingerprints are linked."""
+    return brute_components([fingerprint(t) for t in texts], 3)
 
 
-@pytest.mark.parametrize("bucket_rows", [4096, 20])
-def test_near_copies_of_a_large_group(spark, bucket_rows):
-    r = random.Random(11)
-    base, shared = prose(50, 400).split(), prose(51, 60)
-    texts = [prose(100 + i, 300) + " " + shared for i in range(80)]  # a common passage links nothing
-    for i in range(150):
-        words = list(base)
-        for at in r.sample(range(400), 2):
-            words[at] = f"edit{i}x{at}"
-        texts.append(" ".join(words))
-    texts += [t.upper() + "  " + prose(900 + i, 4) for i, t in enumerate(texts[:40])]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {x.doc_id: x.component_id for x in near_copies.near_copies(frame, bucket_rows=bucket_rows).collect()}
-    assert [found[i] for i in range(len(texts))] == brute_classes(texts)
-
-
-def test_large_bucket_links_all_near_fingerprints():
-    r = np.random.default_rng(3)
-    codes = r.integers(0, 2**63, (300, 8), dtype=np.uint64)
-    chain = [codes[0]]
-    for _ in range(600):  # chains whose ends are far apart, and one dense ball
-        flips = np.packbits(r.permutation(np.arange(512) < 30)).view(np.uint64)
-        chain.append((chain[-1] if r.random() < 0.3 else codes[r.integers(0, 300)]) ^ flips)
-    codes = np.concatenate([codes, np.array(chain)])
-    size = r.integers(90, 125, len(codes))
-    distance = np.bitwise_count(codes[:, None] ^ codes[None]).sum(2)
-    near = (distance <= 40) & (np.minimum(size[:, None], size[None]) >= 0.8 * np.maximum(size[:, None], size[None]))
+@pytest.mark.parametrize("tile", [8, 512])
+def test_tiles_cover_many_small_buckets_and_parts_of_large_ones(monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    r = np.random.default_rng(4)
+    keys = np.sort(np.concatenate([r.integers(0, 150, 400), np.full(90, 500)]))
+    codes = r.integers(0, 2**63, 30, dtype=np.uint64)[r.integers(0, 30, len(keys))]
+    codes ^= np.uint64(1) << r.integers(0, 64, len(keys)).astype(np.uint64)
+    order = np.lexsort((np.bitwise_count(codes), keys))
+    keys, codes = keys[order], codes[order]
+    pairs = simhash.tile_links(keys, codes, 3)
+    near = (np.bitwise_count(codes[:, None] ^ codes[None]) <= 3) & (keys[:, None] == keys[None])
     wanted = np.arange(len(codes))
     while ((after := np.where(near, wanted[None], len(codes)).min(1)) != wanted).any():
         wanted = after
-    left, right = near_copies._large_bucket(codes, size, 40, 0.8)
-    assert len(left) == len(codes) - len(set(wanted.tolist()))
-    assert (wanted[left] == wanted[right]).all()
-
-
-def of_similarity(seed: int, similarity: float, n: int = 400) -> tuple[str, str]:
-    """Two texts of n shingles each that share a passage and have the similarity, or just about."""
-    common = round(2 * n * similarity / (1 + similarity))
-    shared = [f"s{seed}x{i}" for i in range(common + 4)]
-    return tuple(" ".join(shared + [f"{side}{seed}x{i}" for i in range(n - common)]) for side in "ab")
-
-
-@pytest.mark.parametrize("block_rows", [near_copies.BLOCK_ROWS, 8])
-def test_near_copies_at_the_edge(spark, block_rows):
-    """Links are those of the sets, whatever their fingerprints say; groups do not chain below."""
-    texts = [t for k, s in enumerate([0.70, 0.75, 0.79, 0.80, 0.82] * 30) for t in of_similarity(k, s)]
-    r = random.Random(12)
-    template = prose(60, 400).split()
-    for i in range(40):  # of one template, about 0.75 each, and some real copies of them
-        words = list(template)
-        for at in r.sample(range(0, 400, 5), 12):
-            words[at] = f"own{i}x{at}"
-        texts += [" ".join(words), " ".join([*words, "end"])][: 1 + i % 2]
-    texts += [" ".join(prose(70 + i, 9).split()[:8] + [x]) for i in range(20) for x in ("a", "b")]  # short: 4/6
-    texts += [" ".join(prose(170 + i, 13).split()[:13 - x]) for i in range(20) for x in (0, 1)]  # 8/9
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {x.doc_id: x.component_id for x in near_copies.near_copies(frame, block_rows=block_rows).collect()}
-    assert [found[i] for i in range(len(texts))] == brute_classes(texts)
+    assert len(pairs) == len(codes) - len(set(wanted.tolist()))
+    assert (wanted[pairs[:, 0]] == wanted[pairs[:, 1]]).all()
+
+
+def test_tiles_beyond_the_radius_are_skipped(monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 4)
+    seen = []
+    inner = np.triu
+    monkeypatch.setattr(np, "triu", lambda m, k: seen.append(m.shape) or inner(m, k))
+    codes = np.array([(1 << i) - 1 for i in range(0, 64, 4)], np.uint64)
+    assert len(simhash.tile_links(np.zeros(16, np.int64), codes, 3)) == 0 and len(seen) == 4
+
+
+@pytest.mark.parametrize("hot", [1, 3000])
+def test_hot_keys_are_dealt_out(spark, hot):
+    from gaugeflow.llm.components import join_per_key
+
+    rows = spark.range(hot + 500).select(F.when(F.col("id") < hot, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
+    per_key = rows.groupBy("k").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    found = join_per_key(rows, per_key, "k", hot + 500)
+    assert sorted(map(tuple, found.select("k", "id", "least").collect())) == sorted(
+        (-1, i, 0) if i < hot else (i, i, i) for i in range(hot + 500))
+    links = spark.range(1, hot + 1).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    assert {r.root for r in components(links).collect()} == {0}
 
 
 # WARC
@@ -469,6 +457,17 @@ def test_marginals_equal_enumeration():
     assert model.marginals(page) == pytest.approx([a / total for a in on])
 
 
+def test_quoted_attribute_values_hold_anything():
+    from gaugeflow.llm.dom import Page
+
+    def runs(html):
+        return [text for _, text in Page(html).runs]
+
+    assert runs('<p title="x<y">one</p>') == ["one"] and runs('<p>a<img alt="1 < 2 > 0">b</p>') == ["ab"]
+    assert runs("<div data-x = 'a>b\"<p>'>two</div>") == ["two"]
+    assert runs('<p class=a"b>three</p><p title="four>five</p>') == ["three", "five"]
+
+
 # decontamination
 
 def brute_hits(text, items, size):
