@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import decontamination, language_id, near_copies, packing, substrings
+from gaugeflow.llm import decontamination, language_id, packing, simhash, substrings
 from gaugeflow.llm.queries import BENCHMARK_WINDOW, WINDOW, table, tokenizer_path
 from gaugeflow.llm.words import text_key
 from gaugeflow.sources.workspace import new_folder
@@ -31,18 +31,25 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters and a clear language."""
-    predict = language_id.language_of(language_id.train(documents), spark)
-    found = predict(F.col("text").cast("string"))
-    return documents.filter(
-        (found["lang_pred"] != language_id.UNKNOWN) & (found["score"] >= LEAST_LANGUAGE_SCORE))
+    """Documents with letters and a clear language.
+
+    Null and empty texts and those without letters go. If no document is labelled, no language can
+    be told and all documents with a letter stay. Repeated rows are judged alike; ties between two
+    languages score a half and stay.
+    """
+    return language_id.keep_identified(documents, language_id.train(documents), LEAST_LANGUAGE_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group whose five-word shingles agree to 0.8."""
+    """The document with the least doc_id of each group of linked fingerprints.
+
+    Copies under one id are one document, of which one row stays; different texts under one id, or
+    under none, are documents of their own. Null ids are the largest. Texts without words have one
+    fingerprint in common and are one group.
+    """
     keyed = _keyed(documents)
     folder = new_folder(spark, "kept")
-    near_copies.near_copies(keyed, doc_id=KEY).filter("doc_id = component_id").select(
+    simhash.near_duplicates(keyed, doc_id=KEY).filter("doc_id = component_id").select(
         F.col("doc_id").alias("gaugeflow_kept")).write.parquet(folder)
     kept = spark.read.parquet(folder).groupBy("gaugeflow_kept").count()
     found = keyed.join(kept, F.col(KEY) == F.col("gaugeflow_kept"), "left_semi")
@@ -55,7 +62,11 @@ def drop_near_duplicates(spark: SparkSession, documents: DataFrame, sf_dir: str)
 
 
 def cut_repeats(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that repeat; one that has no word left goes."""
+    """Documents without the passages that repeat; one that has no word left goes.
+
+    Null and empty texts have no words: they hold nothing that repeats, and stay. Passages are
+    judged on the stage's input, and all of their occurrences go, also within one document.
+    """
     keyed = _keyed(documents)
     found = substrings.remove_repeats(keyed, WINDOW, doc_id=KEY).filter("n_removed > 0").select(
         F.col("doc_id").alias("gaugeflow_cut"), F.col("kept").alias("gaugeflow_kept")).dropDuplicates(["gaugeflow_cut"])
@@ -66,7 +77,10 @@ def cut_repeats(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold less than a twentieth of benchmark words."""
+    """Documents that hold less than a twentieth of benchmark words.
+
+    Null texts and those without words have none and stay; an empty benchmark leaves all.
+    """
     keyed = _keyed(documents)
     overlaps = decontamination.find_overlaps(
         keyed, table(spark, sf_dir, "benchmark"), BENCHMARK_WINDOW, doc_id=KEY)
@@ -78,7 +92,7 @@ def drop_contaminated(spark: SparkSession, documents: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences. A null or empty text is its end token alone; every row is packed."""
     return packing.pack(documents, tokenizer_path(), with_ids=False)
 
 
