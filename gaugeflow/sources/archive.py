@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schemas import READING_COLUMNS, READING_KEY
+from gaugeflow.sources.snapshots import Storage
 
 
 def write_archive(readings: DataFrame, path: str) -> None:
@@ -25,13 +25,11 @@ def write_archive(readings: DataFrame, path: str) -> None:
 
 def free_path(spark: SparkSession, folder: str, month: str) -> str:
     """The month's archive path, with a number behind it from the second archive on."""
-    version = 1
+    storage, version = Storage(spark), 1
     while True:
         suffix = "" if version == 1 else f"-{version}"
         path = f"{folder.rstrip('/')}/readings_{month}{suffix}.parquet"
-        try:
-            spark.read.parquet(path)
-        except AnalysisException:
+        if not storage.exists(path):
             return path
         version += 1
 
