@@ -30,6 +30,7 @@ from gaugeflow.sources.workspace import checkpoint_dir
 LETTERS = table(inside=bytes([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 SAMPLE_RATE = 8
 SHARD_WORDS = 150_000
+SHARD_ROWS, SHARD_BYTES = 2000, 32 << 20  # a shard's documents wait for its index with their texts
 BLOCK_BYTES = 4 << 20
 
 
@@ -186,7 +187,7 @@ class Shard:
         self.symbols: list[np.ndarray] = []
         self.document: list[np.ndarray] = []
         self.place: list[np.ndarray] = []
-        self.rows = self.size = 0
+        self.rows = self.size = self.bytes = 0
 
     def add(self, batch: pa.RecordBatch, words: Words, windows: Windows) -> None:
         at, symbols = kept_words(words, windows)
@@ -200,6 +201,10 @@ class Shard:
         self.place.append(np.insert(place, gap, -1))
         self.rows += batch.num_rows
         self.size += len(at)
+        self.bytes += len(words.texts.data)
+
+    def full(self) -> bool:
+        return self.size >= SHARD_WORDS or self.rows >= SHARD_ROWS or self.bytes >= SHARD_BYTES
 
     def hits(self, windows: Windows) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Document and word number of each hit word, and the items of each document."""
@@ -262,9 +267,8 @@ def _search(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.
     for batch in batches:
         for part in slices(batch, "text"):
             words = Words(Texts(part.column("text")), LETTERS, lower=True)
-            # the texts are not needed again in this pass: keep only what the result carries
             shard.add(part, words, windows)
-            if shard.size >= SHARD_WORDS or shard.rows >= 2000:
+            if shard.full():
                 yield from flush(shard)
                 shard = Shard()
     if shard.rows:

@@ -506,6 +506,27 @@ def test_overlaps(spark, documents, nothing, texts, block):
     assert all(r.n_hit == 0 for r in decontamination.find_overlaps(documents, benchmark.limit(0)).collect())
 
 
+def test_shards_are_bounded_by_bytes(monkeypatch):
+    n = 40
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
+                        ("spans", decontamination.SPANS), ("items", pa.list_(pa.string()))])
+    texts = [f"x{i} one two three y{i}" + " z" * (i % 7) for i in range(n)]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([i]), pa.array([texts[i]]), pa.array([0]), pa.array([[]], decontamination.SPANS), pa.array([[]], pa.list_(pa.string()))],
+        schema=schema) for i in range(n)]
+    windows = decontamination.windows_of([("7", "one two three")], 13)
+    shards, inner = [], decontamination.Shard.hits
+    monkeypatch.setattr(decontamination.Shard, "hits", lambda self, w: shards.append(self.bytes) or inner(self, w))
+
+    def found():
+        return [row for batch in decontamination._search(iter(batches), windows) for row in batch.to_pylist()]
+
+    whole = found()
+    assert len(shards) == 1 and [r["items"] for r in whole] == [["7"]] * n
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", 100)
+    assert found() == whole and len(shards) > 10 and max(shards[1:]) < 100 + max(map(len, texts))
+
+
 def test_index_finds_every_place():
     r = np.random.default_rng(5)
     symbols = r.integers(0, 4, 400)

@@ -135,9 +135,7 @@ def expected_spans(text):
     return [(kind, a, b) for a, _, kind, b in sorted(found)]
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 50])
-def test_secrets_equal_a_plain_scan(spark, monkeypatch, chunk):
-    monkeypatch.setattr(secret_scan, "CHUNK", chunk)
+def test_secrets_equal_a_plain_scan(spark):
     texts = secret_texts()
     table = spark.createDataFrame([(i, t, *EXTRA) for i, t in texts], f"doc_id long, text string, {CLASHING}")
     found = [(r.doc_id, [tuple(s) for s in r.spans]) for r in secret_scan.scan(table).collect()]
@@ -181,6 +179,20 @@ def test_candidates_of_the_index():
     assert index.answer("zzz").tolist() == [] and index.answer(None).tolist() == list(range(6))
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 50])
+def test_chunks_of_long_texts_give_one_index(monkeypatch, chunk):
+    import pyarrow as pa
+
+    from gaugeflow.llm.words import Texts
+
+    texts = Texts(pa.array([t for _, t in secret_texts() if t is not None and len(t) < 400] + ["ab", "", "abc"]))
+    whole = secret_scan.TrigramIndex(texts)
+    monkeypatch.setattr(secret_scan, "CHUNK", chunk)
+    parts = secret_scan.TrigramIndex(texts)
+    assert (parts.codes == whole.codes).all() and (parts.rows == whole.rows).all()
+    assert whole.answer("abc").tolist() and len(whole.codes) > 300
+
+
 def test_no_secrets_in_an_empty_table(spark):
     assert secret_scan.scan(spark.createDataFrame([], f"doc_id long, text string, {CLASHING}")).collect() == []
 
@@ -233,10 +245,9 @@ def tables(spark, documents, items):
     )
 
 
-@pytest.mark.parametrize("block_terms, bucket, best", [(1 << 17, 512, 50), (40, 16, 7)])
-def test_search_equals_brute_force(spark, monkeypatch, block_terms, bucket, best):
-    monkeypatch.setattr(lexical_search, "BUCKET", bucket)
-    monkeypatch.setattr(lexical_search, "SEEDS", 64)
+@pytest.mark.parametrize("block_terms, best", [(1 << 17, 50), (40, 7)])
+def test_search_equals_brute_force(spark, monkeypatch, block_terms, best):
+    monkeypatch.setattr(lexical_search, "SEEDS", 64)  # drawn by the driver
     documents, items = corpus()
     found = lexical_search.search(*tables(spark, documents, items), best=best, block_terms=block_terms).collect()
     assert sorted(map(tuple, found), key=repr) == expected_ranking(documents, items, best)
