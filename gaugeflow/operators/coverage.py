@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import exact_sum
+from gaugeflow.functions.numbers import exact_totals
 from gaugeflow.functions.period import Period, summary_in
 from gaugeflow.operators.summary_checks import months_in_scope
 
@@ -92,10 +92,8 @@ def incomplete_coverage(summary: DataFrame, period: Period | None = None) -> Dat
 
 def zero_profiles(summary: DataFrame, period: Period | None = None) -> DataFrame:
     """Flats whose total is zero for some utilities and positive for others."""
-    totals = (
-        summary_in(summary, period)
-        .groupBy("given_flat_id", "utility_type")
-        .agg(exact_sum(F.col("monthly_reading")).alias("total"))
+    totals = exact_totals(
+        summary_in(summary, period), ["given_flat_id", "utility_type"], F.col("monthly_reading")
     )
     zero = F.when(F.col("total") == 0, F.col("utility_type"))
     active = F.when(F.col("total") > 0, F.col("utility_type"))

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import elapsed_seconds, exact_mean, exact_sum, round_half_away
+from gaugeflow.functions.numbers import elapsed_seconds, exact_totals, round_half_away, with_exact_total
 from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
 from gaugeflow.schemas import METER, METER_WINDOW
@@ -183,19 +183,17 @@ def spike_detection(readings: Readings) -> DataFrame:
     )
     widest = F.greatest(F.col("high") - F.col("mean"), F.col("mean") - F.col("low"))
     share = (delta - F.col("mean")) / F.nullif(widest, F.lit(0.0))
+    mean = F.col("total") / F.nullif(F.col("n"), F.lit(0))
     if lagged.hot is None:
         meter = Window.partitionBy(*METER_WINDOW)
-        scored = steps.withColumns(
-            {"mean": exact_mean(delta, over=meter), "low": F.min(delta).over(meter),
-             "high": F.max(delta).over(meter), "n": F.count(delta).over(meter)}
-        ).withColumn("squares", exact_sum(share * share, over=meter))
+        scored = with_exact_total(steps, METER_WINDOW, delta, "total").withColumns(
+            {"low": F.min(delta).over(meter), "high": F.max(delta).over(meter), "n": F.count(delta).over(meter)}
+        ).withColumn("mean", mean)
+        scored = with_exact_total(scored, METER_WINDOW, share * share, "squares")
     else:
-        firsts = steps.groupBy(*METER).agg(
-            exact_mean(delta).alias("mean"), F.min(delta).alias("low"),
-            F.max(delta).alias("high"), F.count(delta).alias("n"),
-        )
+        firsts = exact_totals(steps, METER, delta).withColumn("mean", mean).drop("total")
         centred = lagged.join(firsts, steps)
-        squares = centred.groupBy(*METER).agg(exact_sum(share * share).alias("squares"))
+        squares = exact_totals(centred, METER, share * share).select(*METER, F.col("total").alias("squares"))
         scored = lagged.join(squares, centred)
     std = widest * F.sqrt(F.col("squares") / F.nullif(F.col("n") - 1, F.lit(0)))
     scored = scored.withColumn("std", std)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import exact_mean, round_half_away
+from gaugeflow.functions.numbers import round_half_away, with_exact_total
 from gaugeflow.functions.period import Period, summary_in
 from gaugeflow.schemas import METER, METER_WINDOW, SUMMARY_KEY
 
@@ -88,13 +88,17 @@ def outlier_consumption(summary: DataFrame, period: Period | None = None) -> Dat
     meter = Window.partitionBy(*METER_WINDOW)
     value = F.col("monthly_reading")
     z = (value - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
-    scored = (
-        summary.select(
-            *SUMMARY_KEY, "monthly_reading",
-            F.count(F.lit(1)).over(meter).alias("months"),
-            exact_mean(value, over=meter).alias("mean"),
-            F.stddev_samp(value).over(meter).alias("std"),
-        ).filter(F.col("months") >= 3)
+    rows = summary.select(*SUMMARY_KEY, "monthly_reading").withColumns(
+        {"months": F.count(F.lit(1)).over(meter), "n": F.count(value).over(meter),
+         "low": F.min(value).over(meter), "high": F.max(value).over(meter)}
+    ).filter(F.col("months") >= 3)
+    scored = with_exact_total(rows, METER_WINDOW, value, "total").withColumn(
+        "mean", F.col("total") / F.nullif(F.col("n"), F.lit(0))
+    )
+    widest = F.greatest(F.col("high") - F.col("mean"), F.col("mean") - F.col("low"))
+    share = (value - F.col("mean")) / F.nullif(widest, F.lit(0.0))
+    scored = with_exact_total(scored, METER_WINDOW, share * share, "squares").withColumn(
+        "std", widest * F.sqrt(F.col("squares") / F.nullif(F.col("n") - 1, F.lit(0)))
     )
     return (
         summary_in(scored, period)
