@@ -10,11 +10,14 @@ The order is given by the sortable columns order_turn, order_level, order_kind a
 not by a running number, so no conversation is gathered in one task.
 
 Cases: a null text is an empty content, a null role is kept null and left out of the JSON;
-tool JSON that does not parse is plain text; of calls with the same identifier the first (by
-turn and place) is linked, the others are marked `repeated id`; a result without a call is not
-linked; calls that wait for each other in a circle, for themselves or for no known call are
-marked, and ordered by their turn; a null conv_id or identifier links nothing; repeated rows
-each get a row; an empty table gives an empty result; further columns are ignored.
+tool JSON that does not parse or holds a number beyond a double is plain text; of calls with the same identifier the first (by
+turn and place) is linked, the others are marked `repeated id` (repeated rows count as one
+call); a result without a call is not linked; calls that wait for each other in a circle, for themselves or for no known call are
+marked, and ordered by their turn, and so are calls that wait for such a one (as `circle`);
+arguments that are no JSON object or name a key twice are marked, and the latter kept as the
+text they are; a parameter listed twice is required if one row says so and has
+the least of its types; a null conv_id or identifier links nothing; repeated rows each get a
+row; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,17 +27,20 @@ from pyspark.sql import functions as F
 
 from gaugeflow.sources.workspace import checkpoint_dir
 
-CALLS = "array<struct<id:string,name:string,arguments:string>>"
+CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string>>>"
 WAITS = r'"\$\{([^}"]+)\}"'
+INFINITE = r'"-?Infinity"'
 
 
 def _turns(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
     rows = turns.select(
         F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    looks = F.col("text").startswith("{")
+    # a number beyond a double would come back as this word
+    infinite = [F.size(F.regexp_extract_all(t, F.lit(INFINITE), F.lit(0))) for t in ("text", F.get_json_object("text", "$"))]
+    looks = F.col("text").startswith("{") & (infinite[0] == infinite[1])
     calls = F.when(looks & (F.col("role") == "assistant"),
-                   F.from_json(F.get_json_object("text", "$.tool_calls"), CALLS))
+                   F.from_json("text", CALLS)["tool_calls"])
     result = F.when(looks & (F.col("role") == "tool"), F.get_json_object("text", "$.tool_call_id"))
     return rows.select("*", calls.alias("calls"), result.alias("result_of"))
 
@@ -63,11 +69,11 @@ def _errors(arguments: Column, schema: Column) -> Column:
 
 
 def _levels(calls: DataFrame) -> DataFrame:
-    """conv_id, id, ready (turn behind which a call can stand) and level, for calls that wait
+    """Of one row per identifier conv_id, id, ready (turn behind which a call can stand) and level, for calls that wait
     for others; `state` says ready, circle or unknown call."""
     spark = calls.sparkSession
     checkpoint_dir(spark)
-    nodes = calls.filter("first").select("conv_id", "id", "turn", "waits")
+    nodes = calls.select("conv_id", "id", "turn", "waits")
     edges = nodes.select("conv_id", "id", F.explode("waits").alias("needs")).distinct().checkpoint()
     done = nodes.filter(F.size("waits") == 0).select(
         "conv_id", "id", F.col("turn").alias("ready"), F.lit(0).alias("level"))
@@ -109,8 +115,9 @@ def format_turns(
     spark = turns.sparkSession
     if schemas is None:
         schemas = spark.createDataFrame([], "tool string, parameter string, type string, required boolean")
-    tools = schemas.groupBy(F.col("tool").alias("name")).agg(F.map_from_entries(F.collect_set(F.struct(
-        "parameter", F.struct("type", "required").alias("rule")))).alias("schema"))
+    rules = schemas.filter("parameter is not null").groupBy(F.col("tool").alias("name"), "parameter").agg(
+        F.struct(F.min("type").alias("type"), F.max("required").alias("required")).alias("rule"))
+    tools = rules.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("parameter", "rule"))).alias("schema"))
     rows = _turns(turns, conv_id, turn, role, text)
     no_errors = F.array().cast("array<string>")
 
@@ -119,14 +126,16 @@ def format_turns(
         "conv_id", "turn", "role", "place", F.col("call.id").alias("id"), F.col("call.name").alias("name"),
         F.coalesce("call.arguments", F.lit("{}")).alias("arguments"))
     first = calls.filter("id is not null").groupBy("conv_id", "id").agg(
-        F.min(F.struct("turn", "place")).alias("at")).select(
-        "conv_id", "id", F.col("at.turn").alias("turn"), F.col("at.place").alias("place"), F.lit(True).alias("first"))
-    calls = calls.join(first, ["conv_id", "id", "turn", "place"], "left").withColumns({
-        "first": F.coalesce("first", F.lit(False)),
-        "waits": F.array_distinct(F.regexp_extract_all("arguments", F.lit(WAITS), F.lit(1)))})
-    levels = _levels(calls)
-    calls = calls.join(levels.hint("shuffle_hash"), ["conv_id", "id"], "left").join(tools, "name", "left")
-    complaints = _errors(F.from_json("arguments", "map<string,variant>"), F.col("schema"))
+        F.min(F.struct("turn", "place", "name", "arguments")).alias("at")).select(
+        "conv_id", "id", "at.turn", "at.place", "at.name",
+        F.array_distinct(F.regexp_extract_all("at.arguments", F.lit(WAITS), F.lit(1))).alias("waits"))
+    calls = calls.join(
+        first.select("conv_id", "id", "turn", "place", F.lit(True).alias("first")),
+        ["conv_id", "id", "turn", "place"], "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    levels = _levels(first)
+    calls = calls.withColumn("parsed", F.try_parse_json("arguments")).join(levels.hint("shuffle_hash"), ["conv_id", "id"], "left").join(tools, "name", "left")
+    read = F.when(F.col("parsed").isNotNull(), F.from_json("arguments", "map<string,variant>"))
+    complaints = _errors(read, F.col("schema"))
     complaints = F.concat(
         complaints, F.when(F.col("id").isNotNull() & ~F.col("first"), F.array(F.lit("repeated id"))).otherwise(no_errors),
         F.when(F.col("state") != "ready", F.array(F.col("state"))).otherwise(no_errors))
@@ -134,12 +143,12 @@ def format_turns(
         "conv_id", "turn", "place", F.lit("call").alias("kind"), "role", F.col("id").alias("call_id"), "name",
         complaints.alias("errors"), F.coalesce("ready", "turn").alias("order_turn"),
         F.coalesce("level", F.lit(0)).alias("order_level"),
-        F.to_json(F.struct(F.try_parse_json("arguments").alias("arguments"),
+        F.to_json(F.struct(F.coalesce("parsed", F.col("arguments").cast("variant")).alias("arguments"),
                            F.col("id").alias("id"), F.col("name").alias("name"), F.col("role").alias("role"))).alias("message"))
 
     results = rows.filter("result_of is not null").select(
         "conv_id", "turn", F.col("role"), "text", F.col("result_of").alias("id"))
-    linked = calls.filter("first").select(
+    linked = first.join(levels, ["conv_id", "id"], "left").select(
         "conv_id", "id", "name", F.coalesce("ready", "turn").alias("ready"), F.coalesce("level", F.lit(0)).alias("level"))
     result_rows = results.join(linked.hint("shuffle_hash"), ["conv_id", "id"], "left").select(
         "conv_id", "turn", F.lit(0).alias("place"), F.lit("result").alias("kind"), "role",

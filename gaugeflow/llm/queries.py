@@ -68,8 +68,38 @@ def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def tool_turns(conversations: DataFrame) -> DataFrame:
+    """Turns with a tool call for each assistant's turn and a result for each user's turn.
+
+    The given conversations call no tools. A call `c<turn>` looks up the length of its text
+    and waits for the assistant's turn before it; a user's turn is the result of the turn
+    before. Divisors of the length leave out, repeat or mistype the argument, name an unknown
+    tool or wait for an unknown call.
+    """
+    n = F.length(F.coalesce("text", F.lit("")))
+    number = F.concat(F.lit('"chars":'), n)
+    chars = (
+        F.when(n % 13 == 0, F.concat(number, F.lit(","), number)).when(n % 5 == 0, F.lit(None))
+        .when(n % 7 == 0, F.concat(F.lit('"chars":"'), n, F.lit('"'))).otherwise(number))
+    needs = F.when(n % 11 == 0, F.lit("none")).otherwise(F.concat(F.lit("c"), F.col("turn") - 2))
+    after = F.when(F.col("turn") >= 3, F.concat(F.lit('"after":"${'), needs, F.lit('}"')))
+    call = F.concat(
+        F.lit('{"tool_calls":[{"id":"c'), F.col("turn"), F.lit('","name":"'),
+        F.when(n % 3 == 0, "search").otherwise("lookup"), F.lit('","arguments":{'), F.concat_ws(",", after, chars), F.lit("}}]}"))
+    result = F.to_json(F.struct(
+        F.coalesce("text", F.lit("")).alias("content"),
+        F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id")))
+    calls = conversations.filter("role = 'assistant'").select("conv_id", "turn", "role", call.alias("text"))
+    results = conversations.filter("role = 'user'").select(
+        "conv_id", "turn", F.lit("tool").alias("role"), result.alias("text"))
+    return conversations.select("conv_id", "turn", "role", "text").unionByName(calls).unionByName(results)
+
+
 def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_format.format_turns(table(spark, sf_dir, "conversations")).withColumn(
+    schemas = spark.createDataFrame(
+        [("lookup", "chars", "BIGINT", True), ("lookup", "after", "STRING", False)],
+        "tool string, parameter string, type string, required boolean")
+    return chat_format.format_turns(tool_turns(table(spark, sf_dir, "conversations")), schemas).withColumn(
         "errors", F.array_join("errors", ", "))
 
 
@@ -165,10 +195,44 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 _CHAT = """
+WITH RECURSIVE n AS (SELECT *, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM conversations),
+c AS (
+  SELECT conv_id, turn, n, 'c' || turn AS id, CASE WHEN n % 3 = 0 THEN 'search' ELSE 'lookup' END AS name,
+    CASE WHEN turn >= 3 THEN CASE WHEN n % 11 = 0 THEN 'none' ELSE 'c' || (turn - 2) END END AS needs
+  FROM n WHERE role = 'assistant'),
+done AS (
+  SELECT conv_id, id, turn AS ready, 0 AS level FROM c WHERE needs IS NULL
+  UNION ALL
+  SELECT c.conv_id, c.id, greatest(c.turn, done.ready), done.level + 1
+  FROM c JOIN done ON c.conv_id = done.conv_id AND c.needs = done.id),
+k AS (
+  SELECT c.*, coalesce(ready, turn) AS order_turn, coalesce(level, 0) AS order_level,
+    '{' || concat_ws(',', '"after":"${' || needs || '}"',
+      CASE WHEN n % 13 = 0 THEN '"chars":' || n || ',"chars":' || n WHEN n % 5 = 0 THEN NULL
+           WHEN n % 7 = 0 THEN '"chars":"' || n || '"' ELSE '"chars":' || n END) || '}' AS arguments,
+    concat_ws(', ',
+      CASE WHEN n % 13 = 0 THEN 'arguments are no object' WHEN name = 'search' THEN 'unknown tool'
+           WHEN n % 5 = 0 THEN 'missing chars' WHEN n % 7 = 0 THEN 'type chars' END,
+      CASE WHEN ready IS NOT NULL THEN NULL
+           WHEN (conv_id, needs) IN (SELECT (conv_id, id) FROM c) THEN 'circle' ELSE 'unknown call' END) AS errors
+  FROM c LEFT JOIN done USING (conv_id, id)),
+r AS (SELECT conv_id, turn, t, 'c' || (turn - 1) AS id FROM n WHERE role = 'user')
 SELECT conv_id, turn, 0 AS place, 'text' AS kind, role, CAST(NULL AS VARCHAR) AS call_id,
   CAST(NULL AS VARCHAR) AS name, TRUE AS valid, '' AS errors, turn AS order_turn, 0 AS order_level, 0 AS order_kind,
-  CAST(json_object('content', coalesce(text, ''), 'role', role) AS VARCHAR) AS message
-FROM conversations
+  CAST(json_object('content', t, 'role', role) AS VARCHAR) AS message
+FROM n
+UNION ALL
+SELECT conv_id, turn, 0, 'call', 'assistant', id, name, errors = '', errors, order_turn, order_level, 0,
+  '{"arguments":' || CASE WHEN n % 13 = 0 THEN CAST(to_json(arguments) AS VARCHAR) ELSE arguments END
+    || ',"id":"' || id || '","name":"' || name || '","role":"assistant"}'
+FROM k
+UNION ALL
+SELECT r.conv_id, r.turn, 0, 'result', 'tool', r.id, k.name, k.id IS NOT NULL,
+  CASE WHEN k.id IS NULL THEN 'no call' ELSE '' END, greatest(r.turn, coalesce(k.order_turn, r.turn)),
+  coalesce(k.order_level, 0), 1,
+  CASE WHEN k.id IS NULL THEN CAST(json_object('content', t, 'id', r.id, 'role', 'tool') AS VARCHAR)
+       ELSE CAST(json_object('content', t, 'id', r.id, 'name', k.name, 'role', 'tool') AS VARCHAR) END
+FROM r LEFT JOIN k ON r.conv_id = k.conv_id AND r.id = k.id
 """
 
 _BENCHMARK_WORDS = r"regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

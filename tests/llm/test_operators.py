@@ -1,6 +1,7 @@
 """Each operator against brute force, and on the cases that its docstring defines."""
 
 import hashlib
+import json
 import math
 import random
 import zlib
@@ -16,6 +17,7 @@ from gaugeflow.llm import (
     chat_format, decontamination, html_extraction, language_id, language_model, packing,
     quality_rules, simhash, substrings, warc,
 )
+from gaugeflow.llm import queries as corpus
 from gaugeflow.llm.components import components
 from gaugeflow.llm.words import Texts, Words, windows
 
@@ -413,6 +415,72 @@ def test_chat(spark):
     assert chat_format.format_turns(turns.limit(0)).count() == 0
 
 
+def test_chat_arguments_are_never_lost(spark):
+    written = [
+        '{"x":1,"x":2}', '{"y":1.0e400,"x":1}', '{"x":"Infinity"}', "[1]", '"text"', '{"x":1,"y":{"a":1,"a":2}}',
+        '{"x":' + "7" * 30 + "}", "{}", '{"x":"' + "z" * 200_000 + '"}',
+    ]
+    rows = [(i, 0, "assistant", '{"tool_calls":[{"id":"a","name":"f","arguments":%s}]}' % w) for i, w in enumerate(written)]
+    turns = spark.createDataFrame(rows + rows[:1], "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame(
+        [("f", "x", "STRING", False), ("f", "x", "STRING", None), ("f", "x", "STRING", True), ("f", "y", "DOUBLE", False),
+         ("f", None, "STRING", True)], "tool string, parameter string, type string, required boolean")
+    found = chat_format.format_turns(turns, schemas).collect()
+    assert len(found) == len(rows) + 1
+    calls = [r for r in found if r.kind == "call"]
+    errors = {r.conv_id: r.errors for r in calls}
+    kept = {r.conv_id: json.loads(r.message)["arguments"] for r in calls}
+    plain = {r.conv_id: json.loads(r.message)["content"] for r in found if r.kind == "text"}
+    assert plain == {1: rows[1][3]}
+    lost = ["arguments are no object"]
+    assert errors == {0: lost, 2: [], 3: lost, 4: lost, 5: lost, 6: ["type x"], 7: ["missing x"], 8: []}
+    assert kept[0] == written[0] and kept[5] == written[5]
+    assert kept[2] == {"x": "Infinity"} and kept[3] == [1] and kept[6] == {"x": int("7" * 30)} and kept[7] == {}
+    assert kept[8] == {"x": "z" * 200_000}
+
+
+def test_chat_links_like_a_plain_walk(spark):
+    chance = random.Random(8)
+    talks = [(c, t, "user" if t % 2 == 0 else "assistant", "w" * chance.randint(0, 400))
+             for c in range(60) for t in range(chance.randint(0, 9))]
+    turns = spark.createDataFrame(talks, "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame(
+        [("lookup", "chars", "BIGINT", True), ("lookup", "after", "STRING", False)],
+        "tool string, parameter string, type string, required boolean")
+    found = chat_format.format_turns(corpus.tool_turns(turns), schemas).collect()
+    size = {(c, t): len(x) for c, t, role, x in talks if role == "assistant"}
+    level, state = {}, {}
+    for c, t in sorted(size):
+        if t < 3:
+            level[c, t], state[c, t] = 0, None
+        elif size[c, t] % 11 == 0:
+            level[c, t], state[c, t] = 0, "unknown call"
+        else:
+            stuck = state[c, t - 2] is not None
+            level[c, t], state[c, t] = (0, "circle") if stuck else (level[c, t - 2] + 1, None)
+    calls = {(r.conv_id, r.turn): r for r in found if r.kind == "call"}
+    assert calls.keys() == size.keys() and any(state.values())
+    for key, r in calls.items():
+        n, wanted = size[key], []
+        if n % 13 == 0:
+            wanted.append("arguments are no object")
+        elif n % 3 == 0:
+            wanted.append("unknown tool")
+        elif n % 5 == 0:
+            wanted.append("missing chars")
+        elif n % 7 == 0:
+            wanted.append("type chars")
+        assert r.errors == wanted + [state[key]] * (state[key] is not None)
+        assert r.order_level == level[key] and r.valid == (not r.errors)
+    results = {(r.conv_id, r.turn): r for r in found if r.kind == "result"}
+    assert results.keys() == {(c, t) for c, t, role, _ in talks if role == "user"}
+    for (c, t), r in results.items():
+        linked = calls.get((c, t - 1))
+        assert r.name == (linked.name if linked else None) and r.errors == ([] if linked else ["no call"])
+        assert r.order_level == (linked.order_level if linked else 0)
+    assert sum(r.kind == "text" for r in found) == len(talks)
+
+
 # HTML
 
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body><header class="masthead"><h2>Site</h2></header>
