@@ -68,39 +68,69 @@ def _errors(arguments: Column, schema: Column) -> Column:
         .when(schema.isNull(), F.array(F.lit("unknown tool"))).otherwise(F.array_sort(found)))
 
 
+def _paths(singles: DataFrame) -> DataFrame:
+    """conv_id, id, to, hops and latest of calls that wait for one other (`needs`): where the
+    chain behind a call ends and the last turn on it. Pointers double, so the rounds are the
+    logarithm of the longest chain; a call on or behind a circle keeps pointing at one of them.
+    """
+    paths = singles.select(
+        "conv_id", "id", F.col("needs").alias("to"), F.lit(1).cast("long").alias("hops"), F.col("turn").alias("latest")).checkpoint()
+    longest = paths.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        further = paths.select(
+            "conv_id", F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), F.col("latest").alias("later"))
+        paths = paths.join(further, ["conv_id", "to"], "left").select(
+            "conv_id", "id", F.coalesce("next", "to").alias("to"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+            F.greatest("latest", "later").alias("latest"), F.col("next").isNotNull().alias("moved")).checkpoint()
+        moved = not paths.filter("moved").isEmpty()
+        paths = paths.drop("moved")
+        if not moved:
+            break
+    return paths
+
+
 def _levels(calls: DataFrame) -> DataFrame:
-    """Of one row per identifier conv_id, id, ready (turn behind which a call can stand) and level, for calls that wait
-    for others; `state` says ready, circle or unknown call."""
-    spark = calls.sparkSession
-    checkpoint_dir(spark)
-    nodes = calls.select("conv_id", "id", "turn", "waits")
-    edges = nodes.select("conv_id", "id", F.explode("waits").alias("needs")).distinct().checkpoint()
-    done = nodes.filter(F.size("waits") == 0).select(
-        "conv_id", "id", F.col("turn").alias("ready"), F.lit(0).alias("level"))
+    """Of one row per identifier conv_id, id, ready (turn behind which a call can stand) and
+    level, the longest chain of calls before it; `state` says ready, circle or unknown call.
+
+    Calls that wait for one other are resolved by `_paths`; those that wait for several take one
+    round per link of the longest chain of such calls.
+    """
+    nodes = calls.select("conv_id", "id", "turn", F.size("waits").alias("n"), "waits").checkpoint()
+    done = nodes.filter("n = 0").select("conv_id", "id", F.col("turn").alias("ready"), F.lit(0).cast("long").alias("level"))
+    edges = nodes.select("conv_id", "id", "turn", "n", F.explode("waits").alias("needs")).checkpoint()
     if edges.isEmpty():
-        return done.withColumn("state", F.lit("ready"))
-    known = edges.join(nodes.select("conv_id", F.col("id").alias("needs")), ["conv_id", "needs"], "left_anti")
-    lost = known.select("conv_id", "id").distinct().checkpoint()
-    done = done.checkpoint()
-    while True:
-        met = edges.join(
-            done.select("conv_id", F.col("id").alias("needs"), "ready", "level").hint("shuffle_hash"),
-            ["conv_id", "needs"], "left")
+        return done.withColumns({"state": F.lit("ready"), "level": F.col("level").cast("int")})
+    lost = edges.join(nodes.select("conv_id", F.col("id").alias("needs")), ["conv_id", "needs"], "left_anti").select(
+        "conv_id", "id").distinct().checkpoint()
+    sound = edges.join(lost, ["conv_id", "id"], "left_anti")
+    paths = _paths(sound.filter("n = 1"))
+    behind = paths.select("conv_id", F.col("id").alias("needs"), "to", "hops", "latest")
+    several = sound.filter("n > 1").join(behind, ["conv_id", "needs"], "left").select(
+        "conv_id", "id", "turn", F.coalesce("to", "needs").alias("to"), F.coalesce("hops", F.lit(0)).alias("hops"), "latest").checkpoint()
+    ends = ["conv_id", "to"]
+    while not several.isEmpty():
+        ready = done.select("conv_id", F.col("id").alias("to"), "ready", "level")
         fresh = (
-            met.groupBy("conv_id", "id")
-            .agg(F.min(F.col("level").isNotNull()).alias("all"), F.max("ready").alias("after"), F.max("level").alias("deepest"))
-            .filter("all").join(done, ["conv_id", "id"], "left_anti")
-            .join(nodes, ["conv_id", "id"])
-            .select("conv_id", "id", F.greatest("turn", "after").alias("ready"), (F.col("deepest") + 1).alias("level"))
-        ).checkpoint()
+            several.join(ready, ends, "left").groupBy("conv_id", "id")
+            .agg(F.min(F.col("level").isNotNull()).alias("all"), F.max(F.greatest("turn", "latest", "ready")).alias("ready"),
+                 (F.max(F.col("level") + F.col("hops")) + 1).alias("level"))
+            .filter("all").drop("all").checkpoint()
+        )
         if fresh.isEmpty():
             break
         done = done.unionByName(fresh).checkpoint()
-    open_ = nodes.join(done, ["conv_id", "id"], "left_anti").join(lost.withColumn("lost", F.lit(True)), ["conv_id", "id"], "left")
-    stuck = open_.select(
-        "conv_id", "id", F.col("turn").alias("ready"), F.lit(0).alias("level"),
-        F.when(F.col("lost"), "unknown call").otherwise("circle").alias("state"))
-    return done.withColumn("state", F.lit("ready")).unionByName(stuck)
+        several = several.join(fresh, ["conv_id", "id"], "left_anti").checkpoint()
+    ready = done.select("conv_id", F.col("id").alias("to"), "ready", "level")
+    done = done.unionByName(paths.join(ready, ends).select(
+        "conv_id", "id", F.greatest("latest", "ready").alias("ready"), (F.col("level") + F.col("hops")).alias("level"))).checkpoint()
+    stuck = (
+        nodes.join(done, ["conv_id", "id"], "left_anti")
+        .join(lost.withColumn("lost", F.lit(True)), ["conv_id", "id"], "left")
+        .select("conv_id", "id", F.col("turn").alias("ready"), F.lit(0).cast("long").alias("level"),
+                F.when(F.col("lost"), "unknown call").otherwise("circle").alias("state"))
+    )
+    return done.withColumn("state", F.lit("ready")).unionByName(stuck).withColumn("level", F.col("level").cast("int")).checkpoint()
 
 
 def format_turns(
@@ -113,6 +143,7 @@ def format_turns(
     ARRAY, OBJECT) and required.
     """
     spark = turns.sparkSession
+    checkpoint_dir(spark)
     if schemas is None:
         schemas = spark.createDataFrame([], "tool string, parameter string, type string, required boolean")
     rules = schemas.filter("parameter is not null").groupBy(F.col("tool").alias("name"), "parameter").agg(
@@ -124,7 +155,7 @@ def format_turns(
     calls = rows.filter("calls is not null").select(
         "conv_id", "turn", "role", F.posexplode("calls").alias("place", "call")).select(
         "conv_id", "turn", "role", "place", F.col("call.id").alias("id"), F.col("call.name").alias("name"),
-        F.coalesce("call.arguments", F.lit("{}")).alias("arguments"))
+        F.coalesce("call.arguments", F.lit("{}")).alias("arguments")).checkpoint()
     first = calls.filter("id is not null").groupBy("conv_id", "id").agg(
         F.min(F.struct("turn", "place", "name", "arguments")).alias("at")).select(
         "conv_id", "id", "at.turn", "at.place", "at.name",

@@ -481,6 +481,41 @@ def test_chat_links_like_a_plain_walk(spark):
     assert sum(r.kind == "text" for r in found) == len(talks)
 
 
+def test_chat_levels_of_random_graphs(spark):
+    chance = random.Random(9)
+    rows, graphs = [], {}
+    for c in range(25):
+        turns = list(range(chance.randint(1, 40)))
+        # chains, calls that wait for several others, circles and unknown calls
+        needs = {t: sorted({chance.randint(max(0, t - 3), t + (c % 4 == 3)) for _ in range(chance.choice([0, 1, 1, 1, 2, 3]))} - {t})
+                 for t in turns}
+        if c == 0:
+            turns, needs = list(range(70)), {t: [t - 1] if t else [] for t in range(70)}
+        graphs[c] = needs
+        for t in turns:
+            arguments = ",".join(f'"p{k}":"${{i{k}}}"' for k in needs[t])
+            rows.append((c, t, "assistant", '{"tool_calls":[{"id":"i%d","name":"f","arguments":{%s}}]}' % (t, arguments)))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): r for r in chat_format.format_turns(frame).collect()}
+    assert len(found) == len(rows)
+    states = Counter()
+    for c, needs in graphs.items():
+        level = {}
+        ready = {}
+        for _ in needs:
+            for t in needs:
+                if t not in level and all(k in level for k in needs[t]):
+                    level[t] = 1 + max((level[k] for k in needs[t]), default=-1)
+                    ready[t] = max([t, *(ready[k] for k in needs[t])])
+        for t in needs:
+            r = found[c, t]
+            unknown = any(k not in needs for k in needs[t])
+            state = [] if t in level else ["unknown call" if unknown else "circle"]
+            states.update(state or ["ready"])
+            assert (r.order_level, r.order_turn) == (level.get(t, 0), ready.get(t, t)) and r.errors[1:] == state
+    assert len(states) == 3
+
+
 # HTML
 
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body><header class="masthead"><h2>Site</h2></header>
