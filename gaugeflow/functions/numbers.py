@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -165,6 +165,22 @@ def with_exact_total(rows: DataFrame, keys: list[str], value: Column, name: str)
     )
 
 
+SHARE_UNIT = float(1 << 60)
+
+
+def sum_of_shares(share: Column, over: WindowSpec | None = None) -> Column:
+    """Total of doubles between 0 and 1, added as integers of 2**-60, so in any order the same.
+
+    For totals of at least about 1 that is finer than a double. NaN makes the total NaN.
+    """
+    units = F.when(share <= 1.0, F.rint(share * SHARE_UNIT).cast("bigint").cast("decimal(28,0)"))
+    sums = F.sum(units), F.sum(F.when(share > 1.0, share))
+    if over is not None:
+        sums = sums[0].over(over), sums[1].over(over)
+    whole = F.when(sums[0].isNotNull() | sums[1].isNotNull(), F.coalesce(sums[0].cast("double"), F.lit(0.0)))
+    return whole / SHARE_UNIT + F.coalesce(sums[1], F.lit(0.0))
+
+
 def round_half_away(value: Column, digits: int) -> Column:
     """Round a double by scaling it, ties away from zero.
 

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import elapsed_seconds, exact_totals, round_half_away, with_exact_total
+from gaugeflow.functions.numbers import elapsed_seconds, exact_totals, round_half_away, sum_of_shares, with_exact_total
 from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
 from gaugeflow.schemas import METER, METER_WINDOW
@@ -189,11 +189,11 @@ def spike_detection(readings: Readings) -> DataFrame:
         scored = with_exact_total(steps, METER_WINDOW, delta, "total").withColumns(
             {"low": F.min(delta).over(meter), "high": F.max(delta).over(meter), "n": F.count(delta).over(meter)}
         ).withColumn("mean", mean)
-        scored = with_exact_total(scored, METER_WINDOW, share * share, "squares")
+        scored = scored.withColumn("squares", sum_of_shares(share * share, over=meter))
     else:
         firsts = exact_totals(steps, METER, delta).withColumn("mean", mean).drop("total")
         centred = lagged.join(firsts, steps)
-        squares = exact_totals(centred, METER, share * share).select(*METER, F.col("total").alias("squares"))
+        squares = centred.groupBy(*METER).agg(sum_of_shares(share * share).alias("squares"))
         scored = lagged.join(squares, centred)
     std = widest * F.sqrt(F.col("squares") / F.nullif(F.col("n") - 1, F.lit(0)))
     scored = scored.withColumn("std", std)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import round_half_away, with_exact_total
+from gaugeflow.functions.numbers import round_half_away, sum_of_shares, with_exact_total
 from gaugeflow.functions.period import Period, summary_in
 from gaugeflow.schemas import METER, METER_WINDOW, SUMMARY_KEY
 
@@ -97,7 +97,7 @@ def outlier_consumption(summary: DataFrame, period: Period | None = None) -> Dat
     )
     widest = F.greatest(F.col("high") - F.col("mean"), F.col("mean") - F.col("low"))
     share = (value - F.col("mean")) / F.nullif(widest, F.lit(0.0))
-    scored = with_exact_total(scored, METER_WINDOW, share * share, "squares").withColumn(
+    scored = scored.withColumn("squares", sum_of_shares(share * share, over=meter)).withColumn(
         "std", widest * F.sqrt(F.col("squares") / F.nullif(F.col("n") - 1, F.lit(0)))
     )
     return (

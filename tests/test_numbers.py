@@ -9,7 +9,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import exact_totals, round_half_away, with_exact_total
+from gaugeflow.functions.numbers import exact_totals, round_half_away, sum_of_shares, with_exact_total
 
 
 def bits(value):
@@ -87,6 +87,22 @@ def test_totals_are_bit_equal_under_any_partitioning(spark):
         assert total == pytest.approx(decimals + leftovers, rel=1e-15, abs=0)
 
 
+def test_shares_are_added_in_any_order(spark):
+    chance = random.Random(4)
+    values = [1.0, 0.0, 1e-12] + [chance.random() ** 9 for _ in range(2000)]
+    seen = set()
+    for seed in range(5):
+        chance.shuffle(values)
+        frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(seed + 1, F.rand(seed))
+        seen.add(bits(frame.agg(sum_of_shares(F.col("v"))).first()[0]))
+    assert len(seen) == 1 and struct.unpack(">d", seen.pop())[0] == pytest.approx(math.fsum(values), rel=1e-15, abs=0)
+    for given, total in [([None], None), ([0.5, None], 0.5)]:
+        frame = spark.createDataFrame([(v,) for v in given], "v double")
+        assert frame.agg(sum_of_shares(F.col("v"))).first()[0] == total
+    frame = spark.createDataFrame([(0.5,), (math.nan,)], "v double")
+    assert math.isnan(frame.agg(sum_of_shares(F.col("v"))).first()[0])
+
+
 def test_totals_of_nothing(spark):
     frame = spark.createDataFrame([], "k string, v double")
     assert both_totals(frame) == {}
