@@ -357,6 +357,58 @@ def test_model_is_normalised_and_learns(spark):
     assert np.exp(scorer.log_probability(every, np.full(30, 3), np.full(30, 7))).sum() == pytest.approx(1)
 
 
+def test_every_word_has_a_vector_and_classes_are_normalised(spark):
+    r = random.Random(8)
+    # rare words by pairs: x<i> only after "left", y<i> only after "right"
+    texts = [" ".join(f"{side} {letter}{r.randrange(400)}ed" for side, letter in r.choices([("left", "x"), ("right", "y")], k=40))
+             for _ in range(300)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    first = language_model.build_table(language_model.count_words(frame), 3, 100).frequent()
+    weights, unigram = language_model.start_weights(first)
+    draw = np.random.default_rng(3)
+    features = np.concatenate([draw.normal(0, 1, (first.size, 7)), np.ones((first.size, 1))], 1).astype(np.float32)
+    share = spark.sparkContext.broadcast
+    counts = language_model.count_words(frame, share((first, features)))
+    rows = counts.collect()
+    seen = Counter(w for t in texts for w in t.split()) + Counter(end=len(texts))
+    assert sorted(r.c for r in rows) == sorted(seen.values())
+    vectors = np.array([[row[v] for v in language_model.VECTOR] for row in rows])
+    c, ending = np.array([row.c for row in rows]), np.array([row.ending for row in rows])
+    assert (np.abs(vectors).sum(1) > 0)[c < 200].all()
+    table = language_model.build_table(counts, 3, 100)
+    norms = language_model.class_norms(counts, share(table), share(features))
+    upper = {(int(a), int(b)) for a, b in zip(table.k1[table.number >= 64], table.k2[table.number >= 64], strict=True)}
+    below = np.array([(row.k1 % 2**64, row.k2 % 2**64) not in upper for row in rows])
+    for k in set(ending[below].tolist()):
+        of = below & (ending == k)
+        wanted = ((c[of] + 1)[:, None] * np.exp(vectors[of] @ features.T)).sum(0) + 1
+        assert norms[k] == pytest.approx(wanted, rel=1e-4)
+    # a word is likelier after the word it follows
+    words = language_model.Tokens(pa.array(["left right x1ed y1ed"]))
+    left, right = (int(n) for n in first.find(words)[1][:2])
+    by_key = {row.k1 % 2**64: v for row, v in zip(rows, vectors, strict=True)}
+    x, y = by_key[int(words.k1[2])], by_key[int(words.k1[3])]
+    assert (x - y) @ (features[left] - features[right]) > 0
+
+
+def test_words_of_a_task_are_handed_on_and_counted_anew(texts):
+    column = pa.array([t for _, t in texts], pa.string())
+    t = language_model.Tokens(column)
+    whole, parts = language_model.Lower(None), language_model.Lower(None)
+    whole.learn(t, t.ending, t.ending)
+    totals = Counter()
+    for i in range(len(column)):
+        one = language_model.Tokens(column.slice(i, 1))
+        parts.learn(one, one.ending, one.ending)
+        if i % 3 == 2 or i == len(column) - 1:
+            rows = parts.rows()
+            parts.clear()
+            for a, b, c in zip(*(rows.column(n).to_pylist() for n in ("k1", "k2", "c")), strict=True):
+                totals[a, b] += c
+    rows = whole.rows()
+    assert totals == Counter({(a, b): c for a, b, c in zip(*(rows.column(n).to_pylist() for n in ("k1", "k2", "c")), strict=True)})
+
+
 # substrings
 
 def brute_removed(texts: list[str | None], size: int) -> list[list[bytes]]:
