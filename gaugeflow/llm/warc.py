@@ -1,5 +1,11 @@
 """WARC archives: written with an index, read back by coalesced byte ranges.
 
+Payloads are named by their SHA-256 and counted first. Rows whose payload surely occurs once are
+written as they are scanned. Of the others only those that may be responses carry their payload
+through the shuffle, the rest a digest. Two filters of fixed size tell them apart; they only save
+work. Payloads of more than 1/256 of all rows are looked up in a broadcast list and dealt over
+tasks.
+
 Each task writes its records to an archive of its own in the shared folder, one gzip member per
 record, and returns index rows (archive, offset, length, url, digest). The stored index decides
 which archives count: one left by a lost task is named by no row. The reader sorts the selected
@@ -26,7 +32,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.sources.workspace import new_folder
+from gaugeflow.llm.substrings import BitFilter
+from gaugeflow.llm.words import map_slices
+from gaugeflow.sources.workspace import new_folder, stored
 
 INDEX = (
     "archive string, offset long, length long, page_id long, url string, digest string, record_type string, "
@@ -35,6 +43,10 @@ INDEX = (
 ARCHIVE_BYTES = 1 << 30
 RANGE_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
+FILTER_BITS = 26
+#: A payload of more than this part of all rows (and this many rows) is hot.
+HOT_SHARE = 256
+HOT_ROWS = 1000
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -49,13 +61,13 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, refers_to: int | None) -> bytes:
     """A response record, or a revisit record without a block."""
     head = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
         ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
-        ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}"),
+        ("WARC-Payload-Digest", f"sha1:{digest}"),
     ]
     if url is not None:
         head.append(("WARC-Target-URI", quote(url, safe="%/:=&?~#+!$,;'@()*[]")))
@@ -86,17 +98,59 @@ def _compress(data: bytes) -> bytes:
 def plan_records(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0
 ) -> DataFrame:
-    """page_id, url, payload and refers_to (the response that the row repeats, or null)."""
+    """page_id, url, payload, digest and refers_to (the response that the row repeats, or null).
+
+    Either payload or digest may be missing: a response has its payload, of a revisit one of the
+    two is enough.
+    """
+    spark = pages.sparkSession
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"),
     ).withColumn("content", F.unhex(F.sha2("payload", 256)))
-    groups = (
+    groups = stored(
         rows.filter(F.octet_length("payload") >= least_bytes).groupBy("content")
-        .agg(F.min("page_id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
-    refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("least")), F.col("least"))
-    return rows.join(groups, "content", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+        .agg(F.min("page_id").alias("least"), F.count("*").alias("n")), "payloads")
+    again = groups.filter("n > 1")
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    copied = spark.sparkContext.broadcast(BitFilter(again.select(F.xxhash64("content").alias("key")), "key", FILTER_BITS))
+    first = spark.sparkContext.broadcast(
+        BitFilter(groups.select(F.xxhash64("content", "least").alias("key")), "key", FILTER_BITS))
+    keyed = rows.select(
+        "*", F.xxhash64("content").alias("key"), F.xxhash64("content", "page_id").alias("own"),
+        (F.octet_length("payload") < least_bytes).alias("small"))
+    id_and_url = "page_id long, url string, payload string"
+
+    def alone(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = batch.filter(pa.array(~copied.value.may_hold(_keys(batch, "key"))))
+        return out.select(["page_id", "url", "payload"])
+
+    def together(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = batch.filter(pa.array(copied.value.may_hold(_keys(batch, "key"))))
+        carried = first.value.may_hold(_keys(out, "own")) | out.column("small").to_numpy(zero_copy_only=False)
+        payloads = out.column("payload").to_pylist()
+        digests = pa.array([None if c else digest_of(p.encode()) for c, p in zip(carried, payloads, strict=True)], pa.string())
+        bodies = pa.array([p if c else None for c, p in zip(carried, payloads, strict=True)], pa.string())
+        return pa.RecordBatch.from_arrays(
+            [out.column("page_id"), out.column("url"), bodies, out.column("content"), digests],
+            ["page_id", "url", "payload", "content", "digest"])
+
+    lone = map_slices(keyed.drop("content", "own", "small"), "payload", alone, id_and_url).withColumns(
+        {"digest": F.lit(None).cast("string"), "refers_to": F.lit(None).cast("long")})
+    rest = map_slices(keyed, "payload", together, id_and_url + ", content binary, digest string")
+    hot = F.col("n") > max(total / HOT_SHARE, HOT_ROWS)
+    spread = F.pmod(F.xxhash64("page_id", "url"), F.lit(HOT_SHARE)).cast("int")
+    dealt = rest.join(F.broadcast(again.filter(hot).select("content", F.col("least").alias("hot_least"), F.lit(True).alias("hot"))),
+                      "content", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+    cold = again.filter(~hot).select("content", "least", F.lit(0).alias("salt"))
+    least = F.coalesce("hot_least", "least")
+    refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != least), least)
+    joined = dealt.join(cold, ["content", "salt"], "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    return lone.unionByName(joined)
+
+
+def _keys(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy().view(np.uint64)
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
@@ -114,11 +168,12 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                             stream.close()
                         name, offset = f"archives/{uuid.uuid4().hex}.warc.gz", 0
                         stream = system.open_output_stream(f"{root}/{name}", compression=None)
-                    payload = row["payload"].encode()
-                    data = _compress(record(row["page_id"], row["url"], payload, row["refers_to"]))
+                    payload = None if row["payload"] is None else row["payload"].encode()
+                    digest = digest_of(payload) if row["digest"] is None else row["digest"]
+                    data = _compress(record(row["page_id"], row["url"], payload, digest, row["refers_to"]))
                     stream.write(data)
                     kind = "response" if row["refers_to"] is None else "revisit"
-                    out.append((name, offset, len(data), row["page_id"], row["url"], digest_of(payload), kind,
+                    out.append((name, offset, len(data), row["page_id"], row["url"], digest, kind,
                                 row["refers_to"]))
                     offset += len(data)
                 if out:
@@ -131,7 +186,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
             if stream is not None:
                 stream.close()
 
-    records.select("page_id", "url", "payload", "refers_to").mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
+    records.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
     return records.sparkSession.read.parquet(f"{folder}/index")
 
 

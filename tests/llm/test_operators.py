@@ -315,6 +315,29 @@ def test_archives(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [1000, 3])
+@pytest.mark.parametrize("least_bytes", [0, 6])
+def test_only_responses_carry_their_payload(spark, monkeypatch, hot_rows, least_bytes):
+    monkeypatch.setattr(warc, "HOT_ROWS", hot_rows)
+    rows = [(i, f"u{i}", "hot page" if i % 3 == 0 else f"page {i % 40}" if i % 3 == 1 else f"only {i}" if i % 2 else "tiny", "k", 7)
+            for i in range(1, 241)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, content string, digest int")
+    planned = warc.plan_records(pages, least_bytes=least_bytes).collect()
+    least = {}
+    for i, _, h, *_ in rows:
+        if len(h) >= least_bytes:
+            least[h] = min(least.get(h, i), i)
+    wanted = {i: (h, least.get(h) if least.get(h) != i else None) for i, _, h, *_ in rows}
+    assert len(planned) == len(rows)
+    for r in planned:
+        h, refers = wanted[r.page_id]
+        assert r.refers_to == refers
+        assert r.payload == h if refers is None else r.payload is None and r.digest == warc.digest_of(h.encode())
+    found = warc.round_trip(pages, least_bytes=least_bytes).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in found) == sorted(
+        (i, len(h), warc.digest_of(h.encode()), refers) for i, (h, refers) in wanted.items())
+
+
 def test_reads_are_coalesced():
     at = np.array([0, 10, 20, 200_000, 200_010])
     assert list(warc.ranges(at, np.full(5, 10))) == [(0, 3), (3, 5)]
