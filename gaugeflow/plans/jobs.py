@@ -138,16 +138,17 @@ def _stored_together(checks: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def summary_scan(summary: DataFrame, period: str | Period | None = None) -> Scan:
-    """All checks on the monthly summary. Missing months need more than one month in scope."""
+    """All checks on the stored monthly summary. Missing months need more than one month in scope."""
     scope = as_period(period)
+    gathered = summary_checks.by_meter(summary)
     several = scope is not None and scope.is_multi_month
     checks = {
         "negative_consumption": summary_checks.negative_consumption(summary, scope),
         "zero_consumption_summary": summary_checks.zero_consumption(summary, scope),
         "late_opening": summary_checks.late_opening(summary, scope),
         "early_closing": summary_checks.early_closing(summary, scope),
-        "continuity_breaks": summary_checks.continuity_breaks(summary, scope),
-        "outlier_consumption": summary_checks.outlier_consumption(summary, scope),
+        "continuity_breaks": summary_checks.continuity_breaks(gathered, scope),
+        "outlier_consumption": summary_checks.outlier_consumption(gathered, scope),
         "cross_utility_mismatch": summary_checks.cross_utility_mismatch(summary, scope),
     }
     listed: dict[str, DataFrame | None] = {**checks, "missing_months": None}
