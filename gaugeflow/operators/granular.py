@@ -15,6 +15,10 @@ from gaugeflow.functions.numbers import elapsed_seconds, exact_totals, round_hal
 from gaugeflow.functions.period import month_of, month_start
 from gaugeflow.operators.slices import DEFAULT_POLICY, SLICE, SlicedRows, SlicePolicy, lag_in_slices
 from gaugeflow.schemas import METER, METER_WINDOW
+from gaugeflow.sources.workspace import partitions
+
+ROWS_PER_TASK = 500_000
+
 
 def _month() -> Column:
     return month_of(F.col("recorded_at")).alias("month")
@@ -41,6 +45,7 @@ class Readings:
         self.scoped = scoped
         self.policy = policy
         self.sizes = None if days is None else days.groupBy(*METER_WINDOW).agg(F.sum("n").alias("_n"))
+        self.tasks = None if days is None else partitions(days, F.sum("n"), ROWS_PER_TASK)
         self.measured = scoped if measured is None else measured
 
     @cached_property
@@ -56,6 +61,7 @@ class Readings:
             self.policy,
             self.measured,
             self.sizes,
+            self.tasks,
         )
 
 

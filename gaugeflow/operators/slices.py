@@ -133,17 +133,20 @@ def lag_in_slices(
     policy: SlicePolicy = DEFAULT_POLICY,
     measured: DataFrame | None = None,
     sizes: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> SlicedRows:
     """Add the previous row's values per key: `previous` maps new column -> source column.
 
     `order` must be unique per key and the source columns must not be NULL, so that a NULL
     result means "no previous row". Key sizes are taken from `measured` where counting df
-    itself would be costly; it must hold all rows of df. The rows are shuffled once.
+    itself would be costly; it must hold all rows of df. The rows are shuffled once, into `tasks`
+    partitions if that is given.
     """
     hot = hot_keys(df if measured is None else measured, keys, order, policy, sizes)
 
     def with_lag(rows: DataFrame, cluster: list[str]) -> DataFrame:
         before = Window.partitionBy(*cluster).orderBy(order)
+        rows = rows if tasks is None else rows.repartition(tasks, *cluster)
         return rows.withColumns(
             {name: F.lag(source).over(before) for name, source in previous.items()}
         )

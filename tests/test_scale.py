@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import findings, summary_checks
+from gaugeflow.operators import findings, granular, summary_checks
 from gaugeflow.sources import workspace
 from gaugeflow.sources.snapshots import SnapshotTable
 from gaugeflow.sources.tables import MeterTables
@@ -64,3 +64,18 @@ def test_an_upsert_writes_new_rows_once_and_keeps_the_others(spark, monkeypatch)
     tables.upsert_summary(new)
     assert values(tables.monthly_summary.groupBy("year_month").agg(F.count("*").alias("n")), "year_month", "n") == [
         ("2025-01", 3), ("2025-02", 3), ("2025-03", 1)]
+
+
+def test_ordered_checks_of_a_scan_get_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(granular, "ROWS_PER_TASK", 100)
+    readings = workspace.stored(bind.shipment_readings(spark, SMALL), "readings")
+    days = workspace.stored(granular.day_states(readings), "days")
+    found = exchanges(plan(granular.spike_detection(granular.Readings(readings, days=days))))
+    assert [e for e in found if e.endswith(f", {-(-readings.count() // 100)}")] == found
+
+
+def test_sheet_rows_are_put_together_once(spark):
+    for name in ("drop_repeat_timestamps_sliced", "dropped_rows", "sheet_unpivot", "skip_seen_files"):
+        assert "posexplode" not in plan(QUERIES[name](spark, SMALL))
+    for name in ("repeat_offenders", "repeat_offenders_with_nulls"):
+        assert "l_suppkey" not in plan(QUERIES[name](spark, SMALL))
